@@ -5,19 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.licenses import scan_licenses
+
+    return scan_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cinelake.llm.secrets import scan_secrets
 
     return scan_secrets(_read(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.decontam import decontaminate
+
+    return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.linededup import dedup_lines
+
+    return dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.neardup import near_duplicates
+
+    return near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.html import extract_main_text
+
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cinelake.llm.langid import language_id
+
+    return language_id(_read(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cinelake.llm.mixing import mix_sources
 
@@ -38,8 +73,12 @@ def op10_media_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_secret_scan, op8_source_mixing, op9_url_filter, op10_media_fingerprints)
-}
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_secret_scan, op3_benchmark_decontamination, op4_line_dedup, op5_minhash_near_dedup,
+        op6_html_extraction, op7_language_id, op8_source_mixing, op9_url_filter, op10_media_fingerprints,
+    )
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
