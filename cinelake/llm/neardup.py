@@ -7,13 +7,13 @@ coordinates. Darts above the element's weight miss. A document looks only at ran
 darts, whatever its weight, and doubles that limit while a coordinate has no dart; per coordinate it keeps the earliest.
 Two documents agree in a coordinate with a probability equal to their similarity.
 
-Join: coordinates are banded (BANDS x ROWS). In a band bucket all members are compared with the bucket's first member,
-by exact similarity. Members are linked to it or fail. Linked members need no more comparisons with each other, as
-they are in one class already. A linked and a failed member can only be similar if their distances to the first differ
-by at most 1 - threshold (the weighted Jaccard distance is a metric), so only those pairs are compared; the failed go
-on among themselves with a new first member. After ROUNDS rounds the rest of a bucket is compared in full. So no
-candidate link is lost, and a bucket of near copies costs one comparison a member. Classes are the connected components
-of the links, found by large-star and small-star rounds on tables.
+Join: coordinates are banded (BANDS x ROWS). The aim is the components of the links, so pairs that are in one component
+already need no comparison. Each document is first compared, by exact similarity, with one first member of its buckets;
+then with the first members of its other buckets where the components differ. After that a member is in the component of
+its bucket's first member or has failed against it. What is left are the pairs of a bucket in different components:
+in buckets of at most SMALL they are listed, in larger ones compared in cells of two blocks, as matrix products that give
+rows only for links. So every pair that shares a bucket is compared or connected, whatever the bucket's size, and no list
+of pairs grows with the square of a bucket. Components are found by large-star and small-star rounds on tables.
 
 Defined results: equal texts are one class; a null text, and one without words, is a class of its own row's id; a text of
 fewer than five words has one shingle of all its words; repeated rows share a class; null ids come last and get the class
@@ -39,7 +39,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 K = BANDS * ROWS
 DARTS = K * math.log(K) + 2 * K
-ROUNDS = 3
+SMALL = 32  # members of a bucket whose open pairs are listed
+BLOCK = 384  # members in a block of a cell
 CHUNK = 256  # comparisons with one document that go to one task's key
 
 
@@ -165,41 +166,125 @@ def compare(pairs: DataFrame, features: DataFrame) -> DataFrame:
     return both.mapInArrow(run, out)
 
 
+def _rooted(rows: DataFrame, col: str, roots: DataFrame, out: str) -> DataFrame:
+    """rows with the component of col as ``out``; a node without links is its own."""
+    r = roots.select(F.col("x").alias("__n"), F.col("root").alias("__r"))
+    return rows.join(r, F.col(col) == F.col("__n"), "left").withColumn(out, F.coalesce("__r", col)).drop("__n", "__r")
+
+
 def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
     """members(key, x) of buckets with two or more -> verified links (x, y), enough for the components."""
-    slack = 1 - threshold
-    found: list[DataFrame] = []
-    for level in range(ROUNDS):
-        firsts = members.groupBy("key").agg(F.min("x").alias("y"))
-        with_first = scratch.keep(members.join(firsts, "key"), "first")
-        sims = scratch.keep(compare(with_first.where("x != y").select("x", "y").distinct(), features), "sims")
-        found.append(sims.where(F.col("sim") >= threshold).select("x", "y"))
-        if sims.where(F.col("sim") < threshold).limit(1).count() == 0:
-            return _union(found)
-        dist = with_first.join(sims, ["x", "y"]).select("key", "x", (1 - F.col("sim")).alias("dist"))
-        dist = scratch.keep(dist, "dist")
-        failed = dist.where(F.col("dist") > slack)
-        near = dist.where(F.col("dist") <= slack).select("key", F.col("x").alias("y"), F.col("dist").alias("dy"))
-        far = failed.where(F.col("dist") <= 2 * slack)  # beyond, no linked member is within the slack
-        across = far.join(near, "key").where(F.col("dist") - F.col("dy") <= slack).select("x", "y")
-        pairs = across.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        sims = scratch.keep(compare(pairs, features), "across")
-        found.append(sims.where(F.col("sim") >= threshold).select("x", "y"))
-        several = failed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-        members = scratch.keep(failed.join(several, "key", "left_semi").select("key", "x"), "members")
-        if members.limit(1).count() == 0:
-            return _union(found)
-    other = members.withColumnRenamed("x", "y")
-    pairs = members.join(other, "key").where("x < y").select("x", "y").distinct()
-    found.append(scratch.keep(compare(pairs, features), "rest").where(F.col("sim") >= threshold).select("x", "y"))
-    return _union(found)
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.distinct()
+    firsts = members.groupBy("key").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("m"))
+    star = scratch.keep(members.join(firsts, "key"), "star")
+    pairs = scratch.keep(star.where("x != y").select("x", "y").distinct(), "pairs")
+    one = pairs.groupBy("x").agg(F.min("y").alias("y"))
+    links = scratch.keep(compare(one, features).where(F.col("sim") >= threshold).select("x", "y"), "links")
+    roots = components(links, scratch)
+    rest = pairs.join(one, ["x", "y"], "left_anti")
+    rest = _rooted(_rooted(rest, "x", roots, "cx"), "y", roots, "cy").where("cx != cy").select("x", "y")
+    more = compare(scratch.keep(rest, "rest"), features).where(F.col("sim") >= threshold).select("x", "y")
+    links = scratch.keep(links.unionByName(more), "links")
+    roots = components(links, scratch)
+    # Now a member is in its first member's component, or was compared with that and failed.
+    star = _rooted(_rooted(star, "x", roots, "c"), "y", roots, "cy").withColumn("out", F.col("c") != F.col("cy"))
+    star = scratch.keep(star.select("key", "x", "y", "m", "c", "out"), "star")
+    split = star.groupBy("key").agg(F.count_if("out").alias("n_out")).where("n_out > 0")
+    star = scratch.keep(star.join(split, "key"), "split")
+    small = star.where((F.col("m") <= SMALL) & (F.col("x") != F.col("y")))
+    other = small.select("key", F.col("x").alias("x2"), F.col("c").alias("c2"))
+    pairs = small.join(other, "key").where("x < x2 and c != c2").select("x", F.col("x2").alias("y")).distinct()
+    found = compare(scratch.keep(pairs, "cross"), features).where(F.col("sim") >= threshold).select("x", "y")
+    links = links.unionByName(scratch.keep(found, "links"))
+    large = star.where(F.col("m") > SMALL)
+    if large.limit(1).count():
+        links = links.unionByName(scratch.keep(block_links(large, features, threshold), "blocks"))
+    return links.distinct()
+
+
+def block_links(large: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
+    """large(key, x, m, n_out, c, out) -> links between different components of a bucket, by cells of two blocks.
+
+    The members outside the first member's component are dealt into blocks of about BLOCK, and so are the rest. A cell
+    compares a block of the former with one of the latter or with another (or the same) of its own kind, so a cell
+    holds at most some 2 * BLOCK features and gives at most as many links.
+    """
+    n_out = F.ceil(F.col("n_out") / BLOCK).cast("int")
+    n_in = F.greatest(F.ceil((F.col("m") - F.col("n_out")) / BLOCK), F.lit(1)).cast("int")
+    rows = large.withColumn("no", n_out).withColumn("ni", n_in)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("x"), F.when(F.col("out"), F.col("no")).otherwise(F.col("ni"))).cast("int"))
+    over = lambda n: F.sequence(F.lit(0), n - 1)
+    cell = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("left"))
+    as_left = F.concat(
+        F.transform(over(F.col("ni")), lambda j: cell(F.col("own"), j, True)),
+        F.transform(F.sequence(F.col("own"), F.col("no") - 1), lambda j: cell(F.col("own"), F.col("ni") + j, True)),
+    )
+    as_right = F.filter(F.transform(over(F.col("no")), lambda i: cell(i, F.col("ni") + F.col("own"), False)), lambda c: c["i"] < F.col("own"))
+    inside = F.transform(over(F.col("no")), lambda i: cell(i, F.col("own"), False))
+    cells = F.when(F.col("out"), F.concat(as_left, as_right)).otherwise(inside)
+    rows = rows.select("key", "x", "c", F.explode(cells).alias("cell")).select("key", "cell.i", "cell.j", "cell.left", "x", "c")
+    rows = rows.join(features, "x").select("key", "i", "j", "left", "x", "c", "feature")
+
+    def run(table: pa.Table) -> pa.Table:
+        left = np.array(table["left"].to_pylist(), dtype=bool)
+        x, c = table["x"].to_numpy(), table["c"].to_numpy()
+        packed = [f.as_py() for f in table["feature"]]
+        a = np.flatnonzero(left)
+        b = np.flatnonzero(~left) if not left.all() else a
+        sims = cell_similarities([packed[i] for i in a], [packed[i] for i in b])
+        sims[c[a][:, None] == c[b][None, :]] = 0
+        parent = {}
+
+        def find(u: int) -> int:
+            while parent.get(u, u) != u:
+                u = parent[u]
+            return u
+
+        out = []
+        for i, j in zip(*np.nonzero(sims >= threshold)):  # of the cell's links, a spanning forest
+            u, v = find(int(c[a[i]])), find(int(c[b[j]]))
+            if u != v:
+                parent[u] = v
+                out.append((int(x[a[i]]), int(x[b[j]])))
+        return pa.table({"x": pa.array([u for u, _ in out], pa.int64()), "y": pa.array([v for _, v in out], pa.int64())})
+
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "x bigint, y bigint")
+
+
+def _units(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, unit element, total weight by row): a shingle that occurs n times is n elements."""
+    rows, units, totals = [], [], np.zeros(len(packed))
+    for i, f in enumerate(packed):
+        n = len(f) // 12
+        h, w = np.frombuffer(f, U64, n), np.frombuffer(f, "<u4", n, 8 * n).astype(np.int64)
+        copy = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+        units.append(mix64(np.repeat(h, w) + copy.astype(U64) * U64(0x9E3779B97F4A7C15)))
+        rows.append(np.full(len(copy), i))
+        totals[i] = w.sum()
+    return np.concatenate(rows), np.concatenate(units), totals
+
+
+def cell_similarities(left: list[bytes], right: list[bytes], width: int = 8192) -> np.ndarray:
+    """Weighted Jaccard index of every left with every right feature: products of 0/1 matrices, some columns at a time."""
+    (ra, ua, ta), (rb, ub, tb) = _units(left), _units(right)
+    columns = np.intersect1d(ua, ub)
+    shared = np.zeros((len(left), len(right)))
+
+    def inside(r: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(columns, u), max(len(columns) - 1, 0))
+        ok = columns[at] == u if len(columns) else np.zeros(len(u), dtype=bool)
+        order = np.argsort(at[ok], kind="stable")
+        return r[ok][order], at[ok][order]
+
+    (ra, ca), (rb, cb) = inside(ra, ua), inside(rb, ub)
+    for first in range(0, len(columns), width):
+        parts = []
+        for n, r, c in ((len(left), ra, ca), (len(right), rb, cb)):
+            lo, hi = np.searchsorted(c, [first, first + width])
+            m = np.zeros((n, width), np.float32)
+            m[r[lo:hi], c[lo:hi] - first] = 1
+            parts.append(m)
+        shared += parts[0] @ parts[1].T
+    return shared / (ta[:, None] + tb[None, :] - shared)
 
 
 def components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:

@@ -149,6 +149,30 @@ def test_near_copies_brute_force(spark):
     assert got == brute_classes(sorted(rows))
 
 
+def spread_copies():
+    """A group with similarities from 0.5 to 1, as large buckets hold."""
+    rng = random.Random(8)
+    base = ["w%d" % rng.randrange(900) for _ in range(120)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = "x%d" % rng.randrange(10**6)
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("small, block", [(32, 384), (3, 8), (1, 1)])
+def test_spread_copies_brute_force(spark, monkeypatch, small, block):
+    monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rows = spread_copies()
+    docs = docs_of(spark, [(i, t, "en", "a", 1, 1, "x", "y") for i, t in rows])
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
+    want = brute_classes(rows)
+    assert got == want and 3 < len(set(want.values())) < 140
+
+
 def test_near_real(spark, sf_dir):
     docs = real_docs(spark, sf_dir)
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
