@@ -150,12 +150,14 @@ def similarity(a: bytes, b: bytes) -> float:
 
 def compare(pairs: DataFrame, features: DataFrame) -> DataFrame:
     """pairs(x, y) -> x, y, sim. A y with many partners is met in chunks, each with its own copy of y's feature."""
+    # Sort-merge on purpose: a side that is small today would be broadcast and tomorrow not.
+    by_x = features.withColumnRenamed("feature", "fx").hint("merge")
+    by_y = features.withColumnRenamed("x", "y").withColumnRenamed("feature", "fy").hint("merge")
     chunks = pairs.groupBy("y").agg((F.floor(F.count(F.lit(1)) / CHUNK) + 1).cast("int").alias("chunks"))
-    right = chunks.join(features.withColumnRenamed("x", "y").withColumnRenamed("feature", "fy"), "y")
-    right = right.select("y", "fy", "chunks", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    left = pairs.join(features.withColumnRenamed("feature", "fx"), "x").join(chunks, "y")
-    left = left.withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int")).drop("chunks")
-    both = left.join(right.drop("chunks"), ["y", "chunk"]).select("x", "y", "fx", "fy")
+    left = pairs.join(chunks, "y").withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int")).drop("chunks")
+    left = left.join(by_x, "x")
+    right = chunks.select("y", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).join(by_y, "y").hint("merge")
+    both = left.join(right, ["y", "chunk"]).select("x", "y", "fx", "fy")
     out = T.StructType([both.schema["x"], both.schema["y"], T.StructField("sim", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +224,7 @@ def block_links(large: DataFrame, features: DataFrame, threshold: float) -> Data
     inside = F.transform(over(F.col("no")), lambda i: cell(i, F.col("own"), False))
     cells = F.when(F.col("out"), F.concat(as_left, as_right)).otherwise(inside)
     rows = rows.select("key", "x", "c", F.explode(cells).alias("cell")).select("key", "cell.i", "cell.j", "cell.left", "x", "c")
-    rows = rows.join(features, "x").select("key", "i", "j", "left", "x", "c", "feature")
+    rows = rows.join(features.hint("merge"), "x").select("key", "i", "j", "left", "x", "c", "feature")
 
     def run(table: pa.Table) -> pa.Table:
         left = np.array(table["left"].to_pylist(), dtype=bool)
@@ -230,6 +232,8 @@ def block_links(large: DataFrame, features: DataFrame, threshold: float) -> Data
         packed = [f.as_py() for f in table["feature"]]
         a = np.flatnonzero(left)
         b = np.flatnonzero(~left) if not left.all() else a
+        if not len(a):  # blocks are dealt by hash, so one may be empty
+            return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64())})
         sims = cell_similarities([packed[i] for i in a], [packed[i] for i in b])
         sims[c[a][:, None] == c[b][None, :]] = 0
         parent = {}
@@ -326,7 +330,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     wanted = members.select("x").distinct().withColumnRenamed("x", "h1")
     wanted = texts.join(wanted, "h1", "left_semi").select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("rep.id").alias("wid"))
     same = (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("wid"))
-    chosen = src.join(scratch.keep(wanted, "wanted"), same, "left_semi").select(F.col("h1").alias("x"), "text")
+    chosen = src.join(scratch.keep(wanted, "wanted").hint("merge"), same, "left_semi").select(F.col("h1").alias("x"), "text")
     features = scratch.keep(_features(chosen).dropDuplicates(["x"]), "features")
     links = scratch.keep(bucket_links(members, features, scratch, threshold), "links")
     roots = components(links, scratch)
