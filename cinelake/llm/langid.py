@@ -107,7 +107,7 @@ def fit_counts(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     context3[unseen] = (np.flatnonzero(unseen) % (a * a)).astype(np.int32)
     cost = np.empty((a * a + len(found), a, len(langs)), np.float32)
     for k, levels in enumerate(tables):
-        below = np.full((1, a), 8.0)  # order -1: uniform over bytes
+        below = np.full((1, a), 8.0, np.float32)  # order -1: uniform over bytes
         for order in range(ORDER + 1):
             rows = a**order if order < ORDER else len(found)
             u, n = levels[order]
@@ -120,7 +120,7 @@ def fit_counts(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
             total = np.bincount(ctx, weights=n, minlength=rows)
             distinct = np.bincount(ctx, minlength=rows)
             with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(distinct > 0, -np.log2(distinct / (total + distinct)), 0.0)
+                escape = np.where(distinct > 0, -np.log2(distinct / (total + distinct)), 0.0).astype(np.float32)
             here = below + escape[:, None]
             here[ctx, sym] = -np.log2(n / (total + distinct)[ctx])
             if order == ORDER - 1:
@@ -131,8 +131,11 @@ def fit_counts(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     return Model(langs, symbol, context3, cost.reshape(-1, len(langs)))
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Model | None:
-    """Train on a hash sample of about ``sample`` labelled rows a language; null when no row has a label."""
+Counts = dict[str, tuple[np.ndarray, np.ndarray]]
+
+
+def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Counts | None:
+    """The n-gram counts of a hash sample of about ``sample`` labelled rows a language; null when no row has a label."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = labelled.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()
     if not sizes:
@@ -142,10 +145,12 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     share = F.create_map(*(x for r in sizes for x in (F.lit(r[0]), F.lit(min(1.0, sample / r[1])))))
     chosen = labelled.where(draw < share[F.col(lang_col)])
-    got = gram_counts(chosen, lang_col, text_col).toPandas()
-    if got.empty:
-        got = gram_counts(labelled.orderBy(id_col).limit(sample), lang_col, text_col).toPandas()
-    return fit_counts({k: (v["gram"].to_numpy(np.int64), v["n"].to_numpy(np.float64)) for k, v in got.groupby("lang")})
+    got = gram_counts(chosen, lang_col, text_col).toArrow()
+    if not got.num_rows:
+        got = gram_counts(labelled.orderBy(id_col).limit(sample), lang_col, text_col).toArrow()
+    langs = np.array(got["lang"].to_pylist(), dtype=object)
+    gram, n = got["gram"].to_numpy(), got["n"].to_numpy().astype(np.float64)
+    return {lang: (gram[langs == lang], n[langs == lang]) for lang in set(langs.tolist())}
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -173,11 +178,11 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
-_LOADED: dict[int, Model] = {}
+_LOADED: dict[int, Model | None] = {}
 
 
 def identify(
-    docs: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame, counts: Counts | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
     """The columns ``keep`` of every row, with lang_pred and score (the winner's posterior under equal priors)."""
     import uuid
@@ -185,12 +190,12 @@ def identify(
     src = docs.select(*keep, F.col(text_col).alias("__text"))
     out = T.StructType([*src.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     token = uuid.uuid4().int
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # each worker tabulates the costs once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if token not in _LOADED:
             _LOADED.clear()
-            _LOADED[token] = shared.value
+            _LOADED[token] = fit_counts(shared.value) if shared.value else None
         m = _LOADED[token]
         for b in batches:
             texts = b.column(b.num_columns - 1)
@@ -223,5 +228,5 @@ def held_out(id_col: str) -> Column:
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
     """Train on the rows not held out, predict every row: id, held_out, lang_pred, score."""
-    model = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col, sample)
-    return identify(docs, model, text_col, (id_col,)).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
+    counts = fit(docs.where(~held_out(id_col)), id_col, text_col, lang_col, sample)
+    return identify(docs, counts, text_col, (id_col,)).select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score")
