@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def pixels(width: int, height: int, channels: int, data: bytes) -> np.ndarray:
@@ -51,17 +52,17 @@ def blur_region(image: np.ndarray, x: int, y: int, w: int, h: int) -> np.ndarray
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def blur_score(image: pd.DataFrame) -> pd.Series:
     return pd.Series([laplacian_variance(grey(pixels(r.width, r.height, r.channels, r.data))) for r in image.itertuples()])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def crop_sharpness(image: pd.DataFrame) -> pd.Series:
     return pd.Series([edge_sharpness(grey(pixels(r.width, r.height, r.channels, r.data))) for r in image.itertuples()])
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def blurred(image: pd.DataFrame, box: pd.DataFrame) -> pd.Series:
     done = (
         blur_region(pixels(r.width, r.height, r.channels, r.data), b.x, b.y, b.w, b.h).tobytes()
@@ -70,7 +71,7 @@ def blurred(image: pd.DataFrame, box: pd.DataFrame) -> pd.Series:
     return pd.Series(list(done))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def mask_raster(size: pd.DataFrame, rects: pd.Series) -> pd.Series:
     """One byte a pixel, 255 inside any rectangle (x1, y1, x2, y2)."""
     out = []
