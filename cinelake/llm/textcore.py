@@ -43,7 +43,7 @@ def powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of a fixed odd base modulo 2**64, and of its inverse."""
     have = _POWERS.get(kind)
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE_BYTES + 4096)
+        size = 1 << max(12, n.bit_length())  # small on the driver, which only hashes queries
         base = _BASE[kind]
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
