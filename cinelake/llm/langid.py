@@ -34,6 +34,7 @@ ORDER = 3
 SAMPLE = 300
 PAD = b" " * ORDER
 MAX_LANGUAGES = 64
+CHUNK = 1 << 16  # bytes scored at a time
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -153,28 +154,30 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     return {lang: (gram[langs == lang], n[langs == lang]) for lang in set(langs.tolist())}
 
 
-def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each text under each language: (texts, languages)."""
+def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """Bits of each text under each language: (texts, languages). Works in chunks of bytes, so long texts need no more memory."""
     n, a = len(offsets) - 1, int(model.symbol.max()) + 1
     out = np.zeros((n, len(model.langs)))
-    if not len(data):
-        return out
-    s = model.symbol[data]
+    texts = np.flatnonzero(np.diff(offsets))
+    starts, ends = offsets[:-1][texts], offsets[1:][texts]
     space = model.symbol[32]
-    before = [np.empty_like(s) for _ in range(ORDER)]  # the class one, two and three bytes back
-    starts = offsets[:-1][np.diff(offsets) > 0]
-    ends = offsets[1:][np.diff(offsets) > 0]
-    for back in range(1, ORDER + 1):
-        p = before[back - 1]
-        p[back:] = s[:-back]
-        p[:back] = space
-        for i in range(back):
-            at = starts + i
-            p[at[at < ends]] = space
-    row = model.context3[(before[2] * a + before[1]) * a + before[0]]
-    each = model.cost[row * np.int64(a) + s]
-    nonempty = np.diff(offsets) > 0
-    out[nonempty] = np.add.reduceat(each, starts, axis=0, dtype=np.float64)
+    for first in range(0, len(data), chunk):
+        end = min(first + chunk, len(data))
+        head = min(ORDER, first)  # bytes before the chunk that are its contexts
+        s = model.symbol[data[first - head : end]]
+        lo, hi = np.searchsorted(ends, first, side="right"), np.searchsorted(starts, end)
+        before = []  # the class one, two and three bytes back
+        for back in range(1, ORDER + 1):
+            p = np.full(end - first, space)
+            skip = max(back - head, 0)
+            p[skip:] = s[head - back + skip : max(len(s) - back, 0)]
+            for i in range(back):
+                at = starts[lo:hi] + i
+                p[at[(at >= first) & (at < np.minimum(ends[lo:hi], end))] - first] = space
+            before.append(p)
+        row = model.context3[(before[2] * a + before[1]) * a + before[0]]
+        each = model.cost[row * np.int64(a) + s[head:]]
+        out[texts[lo:hi]] += np.add.reduceat(each, np.maximum(starts[lo:hi], first) - first, axis=0, dtype=np.float64)
     return out
 
 
@@ -182,13 +185,19 @@ _LOADED: dict[int, Model | None] = {}
 
 
 def identify(
-    docs: DataFrame, counts: Counts | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)
+    docs: DataFrame,
+    counts: Counts | None,
+    text_col: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    added: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """The columns ``keep`` of every row, with lang_pred and score (the winner's posterior under equal priors)."""
+    """The columns ``keep`` of every row, with the language and the score (the winner's posterior under equal priors)."""
     import uuid
 
-    src = docs.select(*keep, F.col(text_col).alias("__text"))
-    out = T.StructType([*src.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    kept = docs.select(*keep)
+    src = kept if text_col in keep else docs.select(*keep, text_col)
+    place = src.columns.index(text_col)
+    out = T.StructType([*kept.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
     token = uuid.uuid4().int
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # each worker tabulates the costs once
 
@@ -198,7 +207,7 @@ def identify(
             _LOADED[token] = fit_counts(shared.value) if shared.value else None
         m = _LOADED[token]
         for b in batches:
-            texts = b.column(b.num_columns - 1)
+            texts = b.column(place)
             langs: list[str] = []
             scores: list[float] = []
             for first, end, data, offsets in slices(texts):
@@ -215,7 +224,7 @@ def identify(
                         langs.append(m.langs[best[i]])
                         scores.append(float(1 / rest[i]))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in out]
+                [*b.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in out]
             )
 
     return src.mapInArrow(run, out)

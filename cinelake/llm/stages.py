@@ -13,8 +13,8 @@ MIN_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no letters, or no language with at least half of the posterior."""
     counts = langid.fit(docs.where(~langid.held_out("doc_id")), "doc_id", "text", "lang")
-    judged = langid.identify(docs, counts, "text", tuple(docs.columns))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+    judged = langid.identify(docs, counts, "text", tuple(docs.columns), ("__lang_pred", "__score"))
+    return judged.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
