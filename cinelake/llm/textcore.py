@@ -15,6 +15,7 @@ import pyarrow as pa
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 SLICE_BYTES = 1 << 20
+CHUNK = (1 << 17) - 1  # bytes whose words are hashed at a time
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -95,10 +96,17 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[-1] = False
     after[:-1] = mask[1:]
     ends = np.flatnonzero(mask & (~after | cut[1:])) + 1
-    pw, inv = powers("byte", n)
-    total = np.zeros(n + 1, dtype=U64)
-    np.cumsum(_SYMBOL[data] * pw, out=total[1:])
-    hashes = mix64((total[ends] - total[starts]) * inv[starts] + (ends - starts).astype(U64))
+    hashes = np.empty(len(starts), U64)
+    i = 0
+    while i < len(starts):  # prefix sums over some words at a time
+        at = int(starts[i])
+        j = max(int(np.searchsorted(ends, at + CHUNK, side="right")), i + 1)
+        part, first, last = data[at : ends[j - 1]], starts[i:j] - at, ends[i:j] - at
+        pw, inv = powers("byte", len(part))
+        total = np.zeros(len(part) + 1, dtype=U64)
+        np.cumsum(_SYMBOL[part] * pw, out=total[1:])
+        hashes[i:j] = mix64((total[last] - total[first]) * inv[first] + (last - first).astype(U64))
+        i = j
     upto = np.searchsorted(starts, offsets, side="left")
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(upto))
     return hashes, doc, upto
