@@ -6,9 +6,10 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from cinelake.llm import langid, licenses, media, secrets, urls
+from cinelake.llm import langid, licenses, media, secrets, stages, textcore, urls
 from tests.llm.util import docs_of, odd_rows, real_docs, words_of
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -220,7 +221,8 @@ def brute_bits(train, text):
     return bits
 
 
-def test_code_lengths_brute_force():
+@pytest.mark.parametrize("chunk", [1, 2, 3, 5, 1000])
+def test_code_lengths_brute_force(chunk):
     train = {"a": ["the cat sat on the mat", "thé end"], "b": ["der hund und die katze", "ß"]}
     counts = {}
     for k, ts in train.items():
@@ -230,7 +232,27 @@ def test_code_lengths_brute_force():
     texts = ["the hund", "", "x\U0001f600y the end", "ß", "katze mat  the the"]
     raw = [t.encode() for t in texts]
     offsets = np.cumsum([0] + [len(x) for x in raw])
-    got = langid.code_lengths(model, np.frombuffer(b"".join(raw), np.uint8), offsets)
+    got = langid.code_lengths(model, np.frombuffer(b"".join(raw), np.uint8), offsets, chunk)
     for i, t in enumerate(texts):
         for k, lang in enumerate(model.langs):
             assert abs(got[i, k] - brute_bits(train[lang], t)) < 1e-3
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 40])
+def test_word_hashes_do_not_depend_on_chunks(monkeypatch, chunk):
+    texts = ["Some Words", "", "joined", "up " * 9, None, "ä" * 50 + " b", " "]
+    column = textcore.column_bytes(pa.array(texts, pa.string()))
+    whole = textcore.words(*column)
+    monkeypatch.setattr(textcore, "CHUNK", chunk)
+    for a, b in zip(whole, textcore.words(*column)):
+        assert np.array_equal(a, b)
+    assert np.diff(whole[2]).tolist() == [len(words_of(t)) for t in texts]
+
+
+def test_language_stage_with_clashing_columns(spark):
+    text = "a plain text with some more words "
+    rows = [(i, text * 3, "en", "x", 9, f"kept{i}", 0.0) for i in range(4)] + [(9, "123", None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, lang_pred string, score double")
+    out = stages.language_id(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in out.collect()) == [(i, f"kept{i}") for i in range(4)]
