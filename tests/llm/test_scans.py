@@ -134,6 +134,12 @@ def test_peaks_find_a_tone():
     assert len(media.fingerprint(tone)) and len(media.fingerprint(tone[:10])) == 0
 
 
+def test_short_payloads_have_fingerprints():
+    texts = ["", "a short line", "another short line", "les.", "and ornd.", "xy" * 96, "word " * 100, "other " * 100]
+    codes = [media.fingerprint(np.frombuffer(media.payload_of(t.encode()), np.uint8)) for t in texts]
+    assert all(len(c) for c in codes) and len({c.tobytes() for c in codes}) == len(texts)
+
+
 def brute_license(text, bound=licenses.DICE):
     pairs = lambda w: set(zip(w, w[1:]))
     lines = [words_of(x) for x in (text or "").split("\n")]
