@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join within an edit distance of one.
 
-Lines (cut at \\n) are compared in normal form: lower case, white space runs as one space, trimmed. Lines whose normal form
-has fewer than ``min_chars`` characters are never compared or dropped. A line is dropped if an earlier line, in the order
-of (doc_id, row, line), has the same normal form or one at an edit distance of one.
+Lines (cut at \\n) are compared in normal form: lower case, white space runs as one space, trimmed. A line is dropped if an
+earlier line, in the order of (doc_id, row, line), has the same normal form or one at an edit distance of one. Lines whose
+normal form has fewer than ``min_chars`` characters are compared for exact copies only, from ``exact_chars`` on, and not at
+all below; the registered query and the pipeline pass ALL_LINES, so that only lines without a visible character stay.
 
 Exact copies meet by a 128-bit hash. For the rest, every distinct line emits, as hashed keys, all its variants with one
 character deleted (with the place) and itself. Two lines at distance one share such a key: a substitution leaves the same
@@ -36,6 +37,7 @@ from cinelake.llm.scratch import Scratch
 from cinelake.llm.textcore import U64, mix64, powers
 
 MIN_CHARS = 20
+ALL_LINES = 1  # as exact_chars
 MAX_BROADCAST_LINES = 200_000  # of some 50 bytes each
 WHOLE, PLACE, LOOSE = 0, 1, 2
 _SPACE = re.compile(r"\s+")
@@ -76,8 +78,8 @@ def variant_keys(s: str) -> np.ndarray:
     return np.concatenate([whole, place, deleted])
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """docs(nul, id, key, text) -> one row per line to compare: nul, id, key, line, n, h1, h2, halves."""
+def _lines(docs: DataFrame, min_chars: int, least: int) -> DataFrame:
+    """docs(nul, id, key, text) -> one row per line to compare: nul, id, key, line, n, h1, h2, halves (none if exact only)."""
     out = T.StructType(
         [*docs.schema.fields[:3], *T._parse_datatype_string("line int, h1 bigint, h2 bigint, halves array<bigint>").fields]
     )
@@ -104,14 +106,15 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
                 if not text:
                     continue
                 for k, line in enumerate(text.split("\n")):
-                    if len(line) < min_chars and len(line) * 3 < min_chars:  # lower case makes at most three of one
+                    if len(line) < least and len(line) * 3 < least:  # lower case makes at most three of one
                         continue
                     s = normal(line)
-                    if len(s) < min_chars:
+                    if len(s) < least:
                         continue
+                    halves = half_keys(s) if len(s) >= min_chars else []
                     h = xxhash.xxh3_128_intdigest(s.encode("utf-8", "surrogatepass"))
                     at.append(i)
-                    for c, v in zip(cols, (k, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), half_keys(s))):
+                    for c, v in zip(cols, (k, (h >> 64) - (1 << 63), (h & (1 << 64) - 1) - (1 << 63), halves)):
                         c.append(v)
                 if len(at) >= 20_000:
                     yield flush()
@@ -163,14 +166,15 @@ def _with_shared(rows: DataFrame, key: str) -> DataFrame:
 
 
 def duplicate_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1,
+    exact_chars: int = MIN_CHARS,
+) -> DataFrame:
     """(id, key, line, near) of every line to drop; key is row_key's. near: no exact earlier copy. max_edits: 0 or 1."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     scratch = Scratch(docs.sparkSession, "lines")
     src = docs.select(F.col(id_col).isNull().alias("nul"), F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    lines = scratch.keep(_lines(src, min_chars), "lines")
+    lines = scratch.keep(_lines(src, min_chars, max(1, min(exact_chars, min_chars))), "lines")
     place = F.struct("nul", "id", "key", "line")
     distinct = lines.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.any_value("halves").alias("halves")
@@ -213,10 +217,11 @@ def row_key(id_col: str, text_col: str):
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1,
+    exact_chars: int = MIN_CHARS,
+) -> DataFrame:
     """The rows of docs with their repeated lines taken out of the text, and n_lines, n_dropped."""
-    drops = duplicate_lines(docs, id_col, text_col, min_chars, max_edits)
+    drops = duplicate_lines(docs, id_col, text_col, min_chars, max_edits, exact_chars)
     drops = drops.groupBy("id", "key").agg(F.sort_array(F.collect_list("line")).alias("__drop"))
     drops = drops.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "__drop")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]

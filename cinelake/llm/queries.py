@@ -30,9 +30,9 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cinelake.llm.linededup import dedup_lines
+    from cinelake.llm.linededup import ALL_LINES, dedup_lines
 
-    return dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), exact_chars=ALL_LINES)
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated lines; a document that loses all its lines goes. n_chars follows the text."""
-    out = linededup.dedup_lines(docs)
+    out = linededup.dedup_lines(docs, exact_chars=linededup.ALL_LINES)
     out = out.where((F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)

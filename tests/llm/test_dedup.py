@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cinelake.llm import linededup, neardup
+from cinelake.llm import linededup, neardup, queries, stages
 from tests.llm.util import docs_of, odd_rows, real_docs, words_of
 
 
@@ -80,6 +80,18 @@ def test_lines_real(spark, sf_dir):
     assert got == brute_lines(rows)
 
 
+def test_short_lines_exact_copies(spark, tmp_path):
+    """Every non-empty line is compared; those under MIN_CHARS for exact copies only."""
+    rows = [(1, "les.\nand ornd.\n\nless."), (2, "  LES.\n\nand  ornd.\nand ornd"), (3, "les."), (4, "a\na\n \n\nb"), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {1: "les.\nand ornd.\n\nless.", 2: "\nand ornd", 3: "", 4: "a\n \n\nb", 5: None}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.op4_line_dedup(spark, str(tmp_path)), linededup.dedup_lines(docs, exact_chars=1)):
+        assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+    staged = stages.line_dedup(spark, docs, "")
+    assert {r["doc_id"]: r["text"] for r in staged.collect()} == {k: v for k, v in want.items() if k != 3}
+
+
 def test_lines_odd_rows(spark):
     got = linededup.dedup_lines(docs_of(spark)).collect()
     assert len(got) == len(odd_rows())
