@@ -135,8 +135,8 @@ def fit_counts(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
 Counts = dict[str, tuple[np.ndarray, np.ndarray]]
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Counts | None:
-    """The n-gram counts of a hash sample of about ``sample`` labelled rows a language; null when no row has a label."""
+def learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> DataFrame | None:
+    """The hash sample of about ``sample`` labelled rows a language that ``fit`` counts; null when no row has a label."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = labelled.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()
     if not sizes:
@@ -146,14 +146,24 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     share = F.create_map(*(x for r in sizes for x in (F.lit(r[0]), F.lit(min(1.0, sample / r[1])))))
     chosen = labelled.where(draw < share[F.col(lang_col)])
+    return chosen if chosen.limit(1).count() else labelled.orderBy(id_col).limit(sample)
+
+
+def counted(chosen: DataFrame | None, text_col: str, lang_col: str) -> Counts | None:
+    """The n-gram counts of the rows of ``learned``."""
+    if chosen is None:
+        return None
     got = gram_counts(chosen, lang_col, text_col).toArrow()
-    if not got.num_rows:
-        got = gram_counts(labelled.orderBy(id_col).limit(sample), lang_col, text_col).toArrow()
     langs = np.array(got["lang"].to_pylist(), dtype=object)
     gram, n = got["gram"].to_numpy(), got["n"].to_numpy().astype(np.float64)
     return {lang: (gram[langs == lang], n[langs == lang]) for lang in set(langs.tolist())}
 
 
+def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Counts | None:
+    """The n-gram counts of a hash sample of about ``sample`` labelled rows a language; null when no row has a label."""
+    return counted(learned(docs, id_col, text_col, lang_col, sample), text_col, lang_col)
+
+
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     """Bits of each text under each language: (texts, languages). Works in chunks of bytes, so long texts need no more memory."""
     n, a = len(offsets) - 1, int(model.symbol.max()) + 1
@@ -189,15 +199,18 @@ def identify(
     counts: Counts | None,
     text_col: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
-    added: tuple[str, str] = ("lang_pred", "score"),
+    added: tuple[str, ...] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """The columns ``keep`` of every row, with the language and the score (the winner's posterior under equal priors)."""
+    """The columns ``keep`` of every row, with the language and the score (the winner's posterior under equal priors).
+
+    A third name in ``added`` adds the winner's code length in bits (0 for an empty text or without a model).
+    """
     import uuid
 
     kept = docs.select(*keep)
     src = kept if text_col in keep else docs.select(*keep, text_col)
     place = src.columns.index(text_col)
-    out = T.StructType([*kept.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
+    out = T.StructType([*kept.schema.fields, T.StructField(added[0], T.StringType()), *(T.StructField(a, T.DoubleType()) for a in added[1:])])
     token = uuid.uuid4().int
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # each worker tabulates the costs once
 
@@ -210,9 +223,11 @@ def identify(
             texts = b.column(place)
             langs: list[str] = []
             scores: list[float] = []
+            lengths: list[float] = []
             for first, end, data, offsets in slices(texts):
                 bits = code_lengths(m, data, offsets) if m else None
                 best = bits.argmin(axis=1) if m else None
+                lengths += bits.min(axis=1).tolist() if m else [0.0] * (end - first)
                 if m:
                     rest = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000)).sum(axis=1)
                 for i in range(end - first):
@@ -224,7 +239,8 @@ def identify(
                         langs.append(m.langs[best[i]])
                         scores.append(float(1 / rest[i]))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in out]
+                [*b.columns[: len(keep)], pa.array(langs, pa.string()), *(pa.array(x, pa.float64()) for x in (scores, lengths)[: len(added) - 1])],
+                names=[f.name for f in out],
             )
 
     return src.mapInArrow(run, out)

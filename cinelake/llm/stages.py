@@ -8,13 +8,26 @@ from pyspark.sql import functions as F
 from cinelake.llm import decontam, langid, linededup, mixing, neardup
 
 MIN_SCORE = 0.5
+SLACK_BITS, ALLOWANCE = 32, 2.0  # the slack is for a text of a few bytes
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letters, or no language with at least half of the posterior."""
-    counts = langid.fit(docs.where(~langid.held_out("doc_id")), "doc_id", "text", "lang")
-    judged = langid.identify(docs, counts, "text", tuple(docs.columns), ("__lang_pred", "__score"))
-    return judged.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE)).select(docs.columns)
+    """Drops documents without a language: no letters, no language with at least half of the posterior, or a code too long.
+
+    The posterior only compares the learned languages. So a text also needs a code of at most SLACK_BITS and ALLOWANCE times
+    the most bits a byte that a training document takes: unlearned languages and letter junk cost far more.
+    """
+    chosen = langid.learned(docs.where(~langid.held_out("doc_id")), "doc_id", "text", "lang")
+    counts = langid.counted(chosen, "text", "lang")
+    added = ("__lang_pred", "__score", "__bits")
+    judged = langid.identify(docs, counts, "text", tuple(docs.columns), added)
+    judged = judged.where((F.col("__lang_pred") != "und") & (F.col("__score") >= MIN_SCORE))
+    if counts:
+        own = langid.identify(chosen, counts, "text", ("text",), added).where("__lang_pred != 'und'")
+        most = own.agg(F.max((F.col("__bits") - SLACK_BITS) / F.octet_length("text"))).first()[0]
+        if most is not None:
+            judged = judged.where(F.col("__bits") <= SLACK_BITS + ALLOWANCE * max(most, 1.0) * F.octet_length("text"))
+    return judged.select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -262,3 +262,19 @@ def test_language_stage_with_clashing_columns(spark):
     out = stages.language_id(spark, docs, "")
     assert out.columns == docs.columns
     assert sorted((r["doc_id"], r["lang_pred"]) for r in out.collect()) == [(i, f"kept{i}") for i in range(4)]
+
+
+HELD = [i for i in range(10**9, 10**9 + 100) if zlib.crc32(str(i).encode()) % 3 == 1]  # ids never learned from
+FOREIGN = [
+    "Сегодня утром мы пошли на рынок и купили свежие овощи.", "今日は天気がいいので散歩に行きます。とても楽しいです。",
+    "Bugün hava çok güzel olduğu için yürüyüşe çıktık ve dondurma yedik.", "sGl/XgQ4tzoRVZ5SBnDmHXIHM4mSYE1tD6YXGyEwq8Rk2LpVv0Zu7JcN",
+    "xqzvk wprtz jjfkq zzvxw qpkrt bvcxz gqjwk vvzpx",
+]
+
+
+def test_language_stage_rejects_unlearned_languages_and_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    planted = spark.createDataFrame([(i, t, "en") for i, t in zip(HELD, FOREIGN)], docs.schema)
+    n = docs.count()
+    kept = stages.language_id(spark, docs.unionByName(planted), "").select("doc_id").collect()
+    assert not [r for r in kept if r["doc_id"] >= 10**9] and len(kept) > 0.98 * n
