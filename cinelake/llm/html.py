@@ -1,15 +1,23 @@
 """Main text of web pages, with site template removal.
 
-A page is parsed into a light element tree (unclosed and misnested tags allowed). Boilerplate elements are known by tag,
-role, class or id; the container is the largest article, else main, else a content-like element, else the body. Then the
-template step: subtrees of the container are hashed, counted per host in Spark over pages of different content, and
-deleted where they recur on at least ``min_pages`` such pages and ``min_share`` of the host's. Paragraph-level elements
-of an explicit article are article text and are never counted as template, so copied articles stay whole.
+A page is parsed into a light element tree (unclosed and misnested tags allowed). Boilerplate is known for sure by tag, role
+or being hidden, and by name where a class or id word says so: the whole word, its last part, or its first part with only
+layout words after it, and no part that negates it. Names can deceive, so a named element gives way where the page's only
+article or main element lies in it, or, on pages without one, where hardly any text is left outside.
+
+The template step: subtrees of the whole page are hashed, counted per host in Spark over pages of different content, and
+deleted where they recur on at least max(``min_pages``, ``spread`` * sqrt(different pages of the host)) of them, so the share
+that it takes falls as a host grows. Inside an article or main element a paragraph-level subtree counts only if at least half
+of its text is in links, and no subtree that holds more than half of the text: copied articles and passages stay whole.
+
+The container is what then remains of all top-level article and main elements, joined in page order; without one of them the
+largest content-like element of at least half of the text, else the body.
 
 Text: character references decoded, white space inside a block one space, blocks in page order joined by two newlines.
 
 Defined results: null html counts as empty and gives an empty text; a page without a container gives what its body holds;
-repeated rows give equal rows; an empty table gives an empty table; extra columns are not read. A null url has the host "".
+of equally large elements the first counts; repeated rows give equal rows; an empty table gives an empty table; extra columns
+are not read. A null url has the host "". A very long page costs time and memory in proportion to its length.
 """
 
 from __future__ import annotations
@@ -27,8 +35,8 @@ from pyspark.sql import types as T
 from cinelake.llm.scratch import Scratch
 from cinelake.llm.urls import split_url
 
-MIN_PAGES, MIN_SHARE = 5, 0.3
-MAX_BROADCAST_TEMPLATES = 100_000  # rows of a host and a hash
+MIN_PAGES, SPREAD = 5, 2.0
+MAX_BROADCAST_BYTES = 16 << 20  # of hosts and hashes
 SALTS = 64
 
 TOKEN = re.compile(
@@ -52,55 +60,79 @@ SIBLINGS = {
 FENCE = frozenset("ul ol dl table article section div body html td th main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = HEADINGS | frozenset("p pre blockquote li dt dd td th tr figcaption b i em strong a span".split())
-# What is never main text, by tag, by role, and by a part of a class or id.
+# What is never main text, by tag, by role, and by class or id; and the layout words of class names.
 DROP_TAGS = RAW | frozenset(
     "head nav footer aside form button select input menu dialog template svg canvas audio video object embed map datalist "
     "fieldset".split()
 )
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
-DROP_NAMES = frozenset(
-    "ad ads adslot advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
-    "consent cookie cookies copyright disclaimer disqus foot footer gdpr header hidden login masthead menu modal nav navbar "
-    "navigation newsletter notice notices notification outbrain overlay pager pagination paywall popup promo promoted promotion "
-    "recommended related reply replies respond search share sharing sidebar signin signup skip social sponsor sponsored "
-    "subscribe subscription taboola toolbar topbar widget widgets".split()
+READER_NAMES = frozenset("comment comments disqus reply replies respond responses".split())
+DROP_NAMES = READER_NAMES | frozenset(
+    "ad ads adslot advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline consent cookie cookies "
+    "copyright disclaimer foot footer gdpr header hidden login masthead menu modal nav navbar navigation newsletter notice notices "
+    "notification outbrain overlay pager pagination paywall popup promo promoted promotion recommended related search share sharing "
+    "sidebar signin signup skip social sponsor sponsored subscribe subscription taboola toolbar topbar widget widgets".split()
 )
-NEGATED = frozenset("has no with without non".split())
+LAYOUT_WORDS = frozenset(
+    "area articles bar block bottom box btn button buttons card cards col column container content form group holder icon icons "
+    "inner item items left link links list message middle outer panel posts rail right row section slot strip text thread title top "
+    "unit wrap wrapper zone".split()
+)
+NEGATED = frozenset("has no non not with without".split())
 CONTENT_NAMES = frozenset("article content entry main post story text body".split())
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+SOLID = frozenset(("#root", "html", "body", "main"))  # never dropped
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parent", "dropped", "content", "digest", "size")
+    """sure: boilerplate by tag, role or hidden; named: by class or id; explicit: article, main or their roles."""
+
+    __slots__ = ("tag", "kids", "parent", "sure", "named", "reader", "content", "explicit", "digest", "size", "linked")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.kids: list[Node | str] = []
-        self.dropped = self.content = False
-        self.digest = self.size = 0
+        self.sure = self.named = self.reader = self.content = False
+        self.explicit = tag in ("article", "main")
+        self.digest = self.size = self.linked = 0
+
+    @property
+    def dropped(self) -> bool:
+        return self.sure or self.named
+
+
+def names_boilerplate(word: str) -> bool:
+    """Whether a class or id word names boilerplate."""
+    parts = [p.lower() for p in _PART.findall(word)]
+    if not parts or not NEGATED.isdisjoint(parts):
+        return False
+    rest = [p for p in parts[1:] if not p.isdigit()]
+    return word.lower() in DROP_NAMES or parts[-1] in DROP_NAMES or parts[0] in DROP_NAMES and LAYOUT_WORDS.issuperset(rest)
 
 
 def _judge(node: Node, attrs: str) -> None:
-    node.dropped = node.tag in DROP_TAGS
+    node.sure = node.tag in DROP_TAGS
     if not attrs or attrs.isspace():
         return
     for m in ATTRIBUTE.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role":
-            node.dropped |= value.strip().lower() in DROP_ROLES
-            node.content |= value.strip().lower() in ("main", "article")
+            role = value.strip().lower()
+            node.sure |= role in DROP_ROLES
+            node.explicit |= role in ("main", "article")
         elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            node.dropped = True
+            node.sure = True
         elif name == "style":
-            node.dropped |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+            node.sure |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         elif name in ("class", "id"):
             for word in value.split():
-                parts = [p.lower() for p in _PART.findall(word)]
-                if parts and parts[0] not in NEGATED:
-                    node.dropped |= not DROP_NAMES.isdisjoint(parts)
-                    node.content |= not CONTENT_NAMES.isdisjoint(parts)
-    if node.tag in ("html", "body", "article", "main") and not (node.tag == "article" and node.dropped):
-        node.dropped = False
+                parts = {p.lower() for p in _PART.findall(word)}
+                if names_boilerplate(word):
+                    node.named = True
+                    node.reader |= not READER_NAMES.isdisjoint(parts)
+                node.content |= not CONTENT_NAMES.isdisjoint(parts)
+    if node.tag in SOLID:
+        node.sure = node.named = False
 
 
 def parse(page: str) -> Node:
@@ -152,72 +184,132 @@ def parse(page: str) -> Node:
     return root
 
 
-def _postorder(root: Node) -> list[Node]:
+def _walk(root: Node, off: bool) -> list[Node]:
+    """Nodes in page order without sure boilerplate, and without named one unless ``off``."""
     out, todo = [], [root]
     while todo:
         node = todo.pop()
         out.append(node)
-        todo += [k for k in node.kids if isinstance(k, Node) and not k.dropped]
-    return out[::-1]
+        todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not k.sure and (off or not k.named)]
+    return out
+
+
+def _own(text: str) -> str:
+    return "".join(text.split())
+
+
+def _settle(root: Node) -> None:
+    """Takes back names that deceive (see above)."""
+    nodes = _walk(root, True)
+    inside = {}
+    for x in nodes:
+        inside[x] = x.named or x.parent is not None and inside[x.parent]
+    size: dict[Node, int] = {}
+    for x in reversed(nodes):
+        size[x] = sum(len(_own(k)) if isinstance(k, str) else 0 if k.sure else size[k] for k in x.kids)
+    explicit = [x for x in nodes if x.explicit and size[x]]
+    if explicit:
+        if all(inside[x] for x in explicit):
+            up: Node | None = max(explicit, key=lambda x: (not x.reader, size[x]))
+            while up is not None:
+                up.named = False
+                up = up.parent
+        return
+    tops = [x for x in nodes if x.named and not inside[x.parent]]
+    if 5 * (size[root] - sum(size[x] for x in tops)) < size[root]:
+        best = max(tops, key=lambda x: (not x.reader, size[x]))
+        best.named = best.reader
 
 
 def _measure(root: Node) -> list[Node]:
-    """Sets size (characters that are not white space, dropped subtrees apart) and digest; returns nodes, children first."""
-    nodes = _postorder(root)
-    for node in nodes:
-        h, size = xxhash.xxh3_64(node.tag.encode()), 0
+    """Sets size (characters that are not white space, dropped subtrees apart), linked (those in links) and digest."""
+    nodes = _walk(root, True)
+    for node in reversed(nodes):
+        h, size, linked = xxhash.xxh3_64(node.tag.encode()), 0, 0
         for k in node.kids:
             if isinstance(k, str):
-                own = "".join(k.split())
+                own = _own(k)
                 size += len(own)
                 if own:
                     h.update(own.encode("utf-8", "surrogatepass"))
             elif not k.dropped:
                 size += k.size
+                linked += k.linked
                 h.update(b"\0" + k.digest.to_bytes(8, "little"))
         node.size, node.digest = size, h.intdigest()
+        node.linked = size if node.tag == "a" else linked
     return nodes
 
 
-def container(root: Node) -> tuple[Node, bool, list[Node]]:
-    """(the element that holds the main text, whether it is an explicit article, all measured nodes)."""
-    nodes = _measure(root)
-    for explicit, fits in (
-        (True, lambda x: x.tag == "article"),
-        (True, lambda x: x.tag == "main"),
-        (False, lambda x: x.content and x.tag not in ("html", "body")),
-        (False, lambda x: x.tag == "body"),
-    ):
-        found = [x for x in nodes if fits(x) and x.size]
-        if found:
-            best = max(found, key=lambda x: x.size)
-            if explicit or best.tag == "body" or 2 * best.size >= root.size:
-                return best, explicit, nodes
-    return root, False, nodes
+def _explicit(root: Node) -> list[Node]:
+    """The top-level article and main elements with text, in page order."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.explicit and node.size:
+            out.append(node)
+        else:
+            todo += [k for k in reversed(node.kids) if isinstance(k, Node) and not k.dropped]
+    return out
+
+
+def containers(root: Node) -> tuple[list[Node], bool]:
+    """(the elements that hold the main text of a measured tree, whether they are explicit)."""
+    found = _explicit(root)
+    if found:
+        return found, True
+    nodes = [x for x in _walk(root, False) if x.size]
+    for fits in (lambda x: x.content and x.tag not in SOLID and 2 * x.size >= root.size, lambda x: x.tag == "body"):
+        some = [x for x in nodes if fits(x)]
+        if some:
+            return [max(some, key=lambda x: x.size)], False
+    return [root], False
+
+
+def _tree(page: str) -> Node:
+    root = parse(page)
+    _settle(root)
+    _measure(root)
+    return root
 
 
-def _within_header(node: Node, top: Node) -> bool:
-    while node is not top and node is not None:
-        if node.tag == "header":
-            return True
-        node = node.parent
-    return False
+def _countable(root: Node) -> Iterator[Node]:
+    """The subtrees of a measured tree that may be template."""
+    tops, explicit = containers(root)
+    within: dict[Node, Node] = {}
+    holds = set()
+    for top in tops:
+        up = top.parent
+        while explicit and up is not None:
+            holds.add(up)
+            up = up.parent
+        for x in _walk(top, True) if explicit else ():
+            within[x] = top
+    for x in _walk(root, True):
+        top = within.get(x)
+        if not x.size or x in holds or x is top or x.tag in SOLID or x.tag not in BLOCK | PARAGRAPHS:
+            continue
+        if top is None or 2 * x.size <= top.size and (x.tag not in PARAGRAPHS or 2 * x.linked >= x.size):
+            yield x
 
 
 def candidates(page: str) -> tuple[int, set[int]]:
     """(digest of the content, digests of the subtrees that may be template)."""
-    top, explicit, _ = container(parse(page))
-    found = set()
-    for node in _postorder(top):
-        if node is not top and node.size and (node.tag not in PARAGRAPHS or not explicit) and node.tag in BLOCK | PARAGRAPHS:
-            if 2 * node.size <= top.size or not explicit:
-                found.add(node.digest)
-    return top.digest, found
+    root = _tree(page)
+    content = xxhash.xxh3_64(b"".join(x.digest.to_bytes(8, "little") for x in containers(root)[0])).intdigest()
+    return content, {x.digest for x in _countable(root)}
 
 
 def main_text(page: str, template: frozenset[int] | set[int] = frozenset()) -> str:
-    """The blocks of the container without boilerplate and template subtrees."""
-    top, explicit, _ = container(parse(page))
+    """The blocks of the containers without boilerplate and template subtrees."""
+    root = _tree(page)
+    if template:
+        gone = [x for x in _countable(root) if x.digest in template]
+        for x in gone:
+            x.sure = True
+        if gone:
+            _measure(root)
+    tops, explicit = containers(root)
     blocks: list[str] = []
     parts: list[str] = []
 
@@ -227,25 +319,22 @@ def main_text(page: str, template: frozenset[int] | set[int] = frozenset()) -> s
         if block:
             blocks.append(block)
 
-    todo: list[Node | str | None] = [top]
+    todo: list[Node | str | None] = tops[::-1]
     while todo:
         x = todo.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
             parts.append(x)
-        elif x.dropped and x is not top:
+        elif x.dropped and x.tag not in SOLID:
             if x.tag in BLOCK:
                 flush()
         else:
-            if template and x is not top and x.digest in template and (x.tag not in PARAGRAPHS or not explicit):
-                flush()
-                continue
             if x.tag in ("br", "td", "th"):
                 parts.append(" ")
             kids = x.kids
             if x.tag == "header":  # of its own header an article keeps the headings, a page nothing
-                kids = [k for k in _postorder(x)[::-1] if k.tag in HEADINGS] if explicit else []
+                kids = [k for k in _walk(x, False) if k.tag in HEADINGS] if explicit else []
             if x.tag in BLOCK:
                 flush()
                 todo.append(None)
@@ -275,14 +364,17 @@ def _subtrees(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(run, "host string, content bigint, subtree bigint")
 
 
-def site_templates(pages: DataFrame, url_col: str, html_col: str, min_pages: int, min_share: float) -> DataFrame:
-    """(host, subtree) of the subtrees that recur over pages of different content."""
+def site_templates(
+    pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES, spread: float = SPREAD,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """(host, subtree) of the subtrees that recur over pages of different content. Parses every page once."""
+    scratch = scratch or Scratch(pages.sparkSession, "html")
     seen = _subtrees(pages.select(url_col, html_col)).distinct()
-    counts = seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    counts = scratch.keep(seen.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {min_pages} or subtree is null"), "counts")
     total = counts.where("subtree is null").select(F.col("host").alias("h2"), F.col("n").alias("total"))
-    often = counts.where(F.col("subtree").isNotNull() & (F.col("n") >= min_pages))
-    often = often.join(total, F.col("host") == F.col("h2")).where(F.col("n") >= F.col("total") * min_share)
-    return often.select("host", "subtree")
+    often = counts.where("subtree is not null").join(total, F.col("host") == F.col("h2"))
+    return often.where(F.col("n") >= F.sqrt("total") * spread).select("host", "subtree")
 
 
 def extract_main_text(
@@ -291,22 +383,22 @@ def extract_main_text(
     url_col: str = "url",
     html_col: str = "html",
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
+    spread: float = SPREAD,
 ) -> DataFrame:
     """One row per page: id, url, text, n_chars."""
     scratch = Scratch(pages.sparkSession, "html")
-    templates = scratch.keep(site_templates(pages, url_col, html_col, min_pages, min_share), "templates")
-    n = templates.count()
+    templates = scratch.keep(site_templates(pages, url_col, html_col, min_pages, spread, scratch), "templates")
+    size = templates.agg(F.sum(F.octet_length("host") + 16)).first()[0] or 0
     src = pages.select(id_col, url_col, html_col)
     out = T.StructType([*src.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    if n:
+    if size:
         by_host = templates.groupBy(F.col("host").alias("__host")).agg(F.sort_array(F.collect_list("subtree")).alias("__t"))
         url = F.coalesce(F.col(url_col), F.lit(""))
         after = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
         host = F.translate(after, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
         on = F.col("__h") == F.col("__host")
         src = src.withColumn("__h", host)
-        if n <= MAX_BROADCAST_TEMPLATES:
+        if size <= MAX_BROADCAST_BYTES:
             by_host = F.broadcast(by_host)
         else:  # a hot host's pages go to SALTS keys, each with its own copy of the host's templates
             src = src.withColumn("__s", F.pmod(F.xxhash64(id_col, html_col), F.lit(SALTS)).cast("int"))

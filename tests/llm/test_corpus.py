@@ -165,6 +165,17 @@ PAGES = [
     ("<article class=comment><p>reply reply reply reply</p></article><article><p>main</p></article>", "main"),
     ("", ""), (None, ""), ("<p>", ""), ("plain text", "plain text"), ("</p></div><p a='>'>q</p>", "q"),
     ("<article><table><tr><td>a<td>b<tr><td>c</table><pre>x\n  y</pre></article>", "a b\n\nc\n\nx y"),
+    ("<div class='layout-with-sidebar'><article><p>kept</p></article></div>", "kept"),
+    ("<div class='right-sidebar'><main><p>kept too</p></main></div>", "kept too"),
+    ("<div class='content page-hidden-nav'><p>a</p><p>b</p></div>", "a\n\nb"),
+    ("<div class='post-share'><p>all the text there is</p></div>", "all the text there is"),
+    ("<article><div class='notice-period'>n</div><div class=ad-hoc>a</div><p class='social-science'>s</p><div class='related-work'>r</div></article>", "n\n\na\n\ns\n\nr"),
+    ("<article><p>t</p><div class='share-buttons'>x</div><div class='site-footer'>y</div><div id=adBanner>z</div><div class='cookie-notice'>c</div></article>", "t"),
+    ("<article><p>first</p></article><div>beside</div><article><p>second and longer</p></article>", "first\n\nsecond and longer"),
+    ("<main><p>before</p><article><p>inside</p></article><p>after</p></main>", "before\n\ninside\n\nafter"),
+    ("<article><p>t</p></article><div class=comments><article>I am a much longer comment than the article is</article></div>", "t"),
+    ("<p>t</p><div class=comments><p>" + "a comment " * 50 + "</p></div>", "t"),
+    ("<div role=article><p>by role</p></div><p>x</p>", "by role"),
 ]
 
 
@@ -176,19 +187,46 @@ def test_main_text(spark):
     assert html.extract_main_text(pages.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_site_templates(spark, monkeypatch, limit):
-    monkeypatch.setattr(html, "MAX_BROADCAST_TEMPLATES", limit)
+def template_pages(n=12):
     rows = []
-    for i in range(12):
+    for i in range(n):
         rows.append((i, "http://a.net/%d" % i, f"<body><div><p>Site name</p><p>All rights</p></div><div><p>Text number {i} of the site</p></div></body>"))
-        rows.append((100 + i, "http://b.net/%d" % i, f"<article><p>Same lead</p><p>Own {i} text is longer than that</p><div>Share this</div></article>"))
+        rows.append((100 + i, "http://B.net/%d" % i, f"<article><p>Same lead</p><p>Own {i} text is longer than that</p><div>Share this</div><p><a>Read</a> more <a>here too</a></p></article>"))
         rows.append((200 + i, "http://c.net/%d" % i, "<body><p>An article that was copied</p></body>"))
-    got = {r["page_id"]: r["text"] for r in html.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(100):  # recurs on 21 of 100 pages, then on 15
+        more = "<div>Our notice</div>" * (i < 21) + "<div>Some pages only</div>" * (i < 15)
+        rows.append((300 + i, "http://d.net/%d" % i, f"<article><p>Page number {i} with a text of its own</p>{more}</article>"))
+    return rows
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_site_templates(spark, monkeypatch, limit):
+    monkeypatch.setattr(html, "MAX_BROADCAST_BYTES", limit)
+    pages = spark.createDataFrame(template_pages(), "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract_main_text(pages).collect()}
     for i in range(12):
         assert got[i] == f"Text number {i} of the site"
         assert got[100 + i] == f"Same lead\n\nOwn {i} text is longer than that"
         assert got[200 + i] == "An article that was copied"
+    for i in range(100):
+        assert got[300 + i] == f"Page number {i} with a text of its own" + "\n\nSome pages only" * (i < 15)
+
+
+def test_template_counts_brute_force(spark, sf_dir):
+    """Against a plain count in Python over fixtures and real pages."""
+    real = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    for rows in (template_pages() + template_pages()[:40] + [(1, None, None)], real):
+        per, contents = {}, {}
+        for _, url, page in rows:
+            content, found = html.candidates(page or "")
+            host = (url or "").split("://")[-1].split("/")[0].split("?")[0].split("#")[0].lower() if url else ""
+            contents.setdefault(host, set()).add(content)
+            for d in found:
+                per.setdefault((host, d - (1 << 63)), set()).add(content)
+        want = {k for k, v in per.items() if len(v) >= max(html.MIN_PAGES, html.SPREAD * len(contents[k[0]]) ** 0.5)}
+        pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+        got = html.site_templates(pages).collect()
+        assert len(got) == len(want) and {(r["host"], r["subtree"]) for r in got} == want
 
 
 def test_deep_page_does_not_break():
