@@ -388,6 +388,7 @@ def extract_main_text(
     """One row per page: id, url, text, n_chars."""
     scratch = Scratch(pages.sparkSession, "html")
     templates = scratch.keep(site_templates(pages, url_col, html_col, min_pages, spread, scratch), "templates")
+    scratch.release(templates)
     size = templates.agg(F.sum(F.octet_length("host") + 16)).first()[0] or 0
     src = pages.select(id_col, url_col, html_col)
     out = T.StructType([*src.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])

@@ -6,8 +6,9 @@ length follows escape method C without exclusion: in the longest context seen in
 tried in the next shorter context, at last uniformly over 256 bytes. A text's exact code length under a language is
 the sum over all its bytes; the shortest length wins, ties go to the first language by code point.
 
-The code lengths are tabulated once, for every context seen in any language and every byte seen in any language (all
-other bytes cost alike), so that scoring is array lookups. A text's first bytes are coded after ORDER spaces.
+Each language keeps sorted tables of only what its sample shows: byte runs with their code length, contexts with their escape.
+A text's byte runs are made distinct first, and each is priced once per language. There is no bound on the number of
+languages; tables grow with the samples. A text's first bytes are coded after ORDER spaces.
 
 Training: about ``sample`` documents a language, chosen by a hash of the id, counted on the executors with whole texts.
 
@@ -33,19 +34,61 @@ from cinelake.llm.textcore import slices
 ORDER = 3
 SAMPLE = 300
 PAD = b" " * ORDER
-MAX_LANGUAGES = 64
-CHUNK = 1 << 16  # bytes scored at a time
+CHUNK = 1 << 20  # bytes scored at a time
 _LETTER = re.compile(r"[^\W\d_]")
+LETTER = r"\p{L}"  # the same in Java's terms
+
+
+def _price(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, other: np.ndarray | float) -> np.ndarray:
+    """The values of the wanted keys in a sorted table, ``other`` where it has none."""
+    if not len(keys):
+        return np.broadcast_to(np.float32(other), wanted.shape) if np.isscalar(other) else other
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return np.where(keys[at] == wanted, values[at], other)
 
 
 @dataclass(frozen=True)
-class Model:
-    """langs; symbol: byte -> class (0: seen nowhere); rows3: context of three classes -> table row; cost: (row, class, language)."""
+class Tree:
+    """One language's context tree: order 1 and below as a dense table, above it by order (runs, bits, contexts, escapes)."""
+
+    low: np.ndarray
+    levels: tuple[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], ...]
 
+    @classmethod
+    def grow(cls, g: np.ndarray, n: np.ndarray) -> Tree:
+        """From byte runs of ORDER + 1 bytes and how often each occurs."""
+        low, levels = np.full(256, 8.0, np.float32), []
+        for order in range(ORDER + 1):
+            runs, inv = np.unique(g & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+            often = np.bincount(inv, weights=n, minlength=len(runs))
+            contexts, at = np.unique(runs >> 8, return_inverse=True)
+            distinct = np.bincount(at, minlength=len(contexts))
+            total = np.bincount(at, weights=often, minlength=len(contexts)) + distinct
+            bits = -np.log2(often / total[at]).astype(np.float32)
+            escapes = -np.log2(distinct / total).astype(np.float32)
+            if order < 2:  # dense: a row for each byte before
+                low = np.tile(low, (256, 1)) if order else low[None, :].copy()
+                low[contexts] += escapes[:, None]
+                low[runs >> 8, runs & 255] = bits
+                low = low if order else low[0]
+            else:
+                levels.append((runs.astype(np.uint32), bits, contexts.astype(np.uint32), escapes))
+        return cls(low.ravel(), tuple(levels))
+
+    def bits(self, g: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each run."""
+        out = self.low[g & np.uint32(0xFFFF)]
+        for order, (runs, bits, contexts, escapes) in enumerate(self.levels, 2):
+            run = g & np.uint32((1 << 8 * (order + 1)) - 1)
+            out = _price(runs, bits, run, out + _price(contexts, escapes, run >> np.uint32(8), 0.0))
+        return out
+
+
+@dataclass(frozen=True)
+class Model:
     langs: tuple[str, ...]
-    symbol: np.ndarray
-    context3: np.ndarray
-    cost: np.ndarray
+    trees: tuple[Tree, ...]
 
 
 def has_letter(text: str) -> bool:
@@ -80,56 +123,7 @@ def gram_counts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
 def fit_counts(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
     """counts: language -> (grams of four bytes, how often)."""
     langs = tuple(sorted(counts, key=lambda s: s.encode("utf-8", "surrogatepass")))
-    seen = np.zeros(256, dtype=bool)
-    seen[32] = True
-    for g, _ in counts.values():
-        seen[np.unique(g & 255)] = True
-    symbol = np.zeros(256, np.int64)
-    symbol[seen] = np.arange(1, seen.sum() + 1)
-    a = int(seen.sum()) + 1
-    # Each language's counts by context of 0 to 3 classes: (context, symbol) -> count.
-    tables, contexts = [], [np.zeros(0, np.int64)]
-    for lang in langs:
-        g, n = counts[lang]
-        s = [symbol[g >> shift & 255] for shift in (24, 16, 8, 0)]
-        levels = []
-        for order in range(ORDER + 1):
-            key = np.zeros(len(g), np.int64)
-            for x in s[3 - order :]:
-                key = key * a + x
-            u, inv = np.unique(key, return_inverse=True)
-            levels.append((u, np.bincount(inv, weights=n, minlength=len(u))))
-        tables.append(levels)
-        contexts.append(levels[3][0] // a)
-    found = np.unique(np.concatenate(contexts))
-    context3 = np.full(a**3, -1, np.int32)
-    context3[found] = np.arange(len(found)) + a * a
-    unseen = context3 < 0  # such a context costs what its last two classes cost: rows 0 to a * a - 1
-    context3[unseen] = (np.flatnonzero(unseen) % (a * a)).astype(np.int32)
-    cost = np.empty((a * a + len(found), a, len(langs)), np.float32)
-    for k, levels in enumerate(tables):
-        below = np.full((1, a), 8.0, np.float32)  # order -1: uniform over bytes
-        for order in range(ORDER + 1):
-            rows = a**order if order < ORDER else len(found)
-            u, n = levels[order]
-            ctx, sym = u // a, u % a
-            if order == ORDER:
-                ctx = np.searchsorted(found, ctx)
-                below = below[found % (a * a)]
-            elif order:
-                below = np.tile(below, (a, 1)) if order == 1 else below[np.arange(rows) % a]
-            total = np.bincount(ctx, weights=n, minlength=rows)
-            distinct = np.bincount(ctx, minlength=rows)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                escape = np.where(distinct > 0, -np.log2(distinct / (total + distinct)), 0.0).astype(np.float32)
-            here = below + escape[:, None]
-            here[ctx, sym] = -np.log2(n / (total + distinct)[ctx])
-            if order == ORDER - 1:
-                cost[: a * a, :, k] = here
-            elif order == ORDER:
-                cost[a * a :, :, k] = here
-            below = here
-    return Model(langs, symbol, context3, cost.reshape(-1, len(langs)))
+    return Model(langs, tuple(Tree.grow(*counts[x]) for x in langs))
 
 
 Counts = dict[str, tuple[np.ndarray, np.ndarray]]
@@ -138,15 +132,12 @@ Counts = dict[str, tuple[np.ndarray, np.ndarray]]
 def learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> DataFrame | None:
     """The hash sample of about ``sample`` labelled rows a language that ``fit`` counts; null when no row has a label."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = labelled.groupBy(lang_col).count().limit(MAX_LANGUAGES + 1).collect()
-    if not sizes:
-        return None
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = labelled.groupBy(F.col(lang_col).alias("__l")).agg(F.count(F.lit(1)).alias("__n"))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    share = F.create_map(*(x for r in sizes for x in (F.lit(r[0]), F.lit(min(1.0, sample / r[1])))))
-    chosen = labelled.where(draw < share[F.col(lang_col)])
-    return chosen if chosen.limit(1).count() else labelled.orderBy(id_col).limit(sample)
+    chosen = labelled.join(sizes, F.col(lang_col) == F.col("__l")).where(draw < F.lit(float(sample)) / F.col("__n")).select(docs.columns)
+    if chosen.limit(1).count():
+        return chosen
+    return labelled.orderBy(id_col).limit(sample) if labelled.limit(1).count() else None
 
 
 def counted(chosen: DataFrame | None, text_col: str, lang_col: str) -> Counts | None:
@@ -159,6 +150,16 @@ def counted(chosen: DataFrame | None, text_col: str, lang_col: str) -> Counts |
     return {lang: (gram[langs == lang], n[langs == lang]) for lang in set(langs.tolist())}
 
 
+def merged(parts: list[Counts]) -> Counts:
+    """The sum of several counts."""
+    out: Counts = {}
+    for lang in {x for p in parts for x in p}:
+        g, n = (np.concatenate(x) for x in zip(*(p[lang] for p in parts if lang in p)))
+        keys, inv = np.unique(g, return_inverse=True)
+        out[lang] = (keys, np.bincount(inv, weights=n, minlength=len(keys)))
+    return out
+
+
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> Counts | None:
     """The n-gram counts of a hash sample of about ``sample`` labelled rows a language; null when no row has a label."""
     return counted(learned(docs, id_col, text_col, lang_col, sample), text_col, lang_col)
@@ -166,28 +167,27 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
     """Bits of each text under each language: (texts, languages). Works in chunks of bytes, so long texts need no more memory."""
-    n, a = len(offsets) - 1, int(model.symbol.max()) + 1
-    out = np.zeros((n, len(model.langs)))
+    out = np.zeros((len(offsets) - 1, len(model.langs)))
     texts = np.flatnonzero(np.diff(offsets))
     starts, ends = offsets[:-1][texts], offsets[1:][texts]
-    space = model.symbol[32]
     for first in range(0, len(data), chunk):
         end = min(first + chunk, len(data))
         head = min(ORDER, first)  # bytes before the chunk that are its contexts
-        s = model.symbol[data[first - head : end]]
+        s = data[first - head : end].astype(np.uint32)
         lo, hi = np.searchsorted(ends, first, side="right"), np.searchsorted(starts, end)
-        before = []  # the class one, two and three bytes back
+        run = s[head:].copy()
         for back in range(1, ORDER + 1):
-            p = np.full(end - first, space)
+            p = np.full(end - first, PAD[0], np.uint32)
             skip = max(back - head, 0)
             p[skip:] = s[head - back + skip : max(len(s) - back, 0)]
             for i in range(back):
                 at = starts[lo:hi] + i
-                p[at[(at >= first) & (at < np.minimum(ends[lo:hi], end))] - first] = space
-            before.append(p)
-        row = model.context3[(before[2] * a + before[1]) * a + before[0]]
-        each = model.cost[row * np.int64(a) + s[head:]]
-        out[texts[lo:hi]] += np.add.reduceat(each, np.maximum(starts[lo:hi], first) - first, axis=0, dtype=np.float64)
+                p[at[(at >= first) & (at < np.minimum(ends[lo:hi], end))] - first] = PAD[0]
+            run |= p << np.uint32(8 * back)
+        distinct, place = np.unique(run, return_inverse=True)
+        cuts = np.maximum(starts[lo:hi], first) - first
+        for k, tree in enumerate(model.trees):
+            out[texts[lo:hi], k] += np.add.reduceat(tree.bits(distinct)[place], cuts, dtype=np.float64)
     return out
 
 

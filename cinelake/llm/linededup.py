@@ -208,6 +208,7 @@ def duplicate_lines(
         near = links.groupBy(F.col("m1").alias("h1"), F.col("m2").alias("h2")).agg(F.min("place").alias("earliest"))
         before = before.unionByName(near).groupBy("h1", "h2").agg(F.min("earliest").alias("earliest"))
         before = scratch.keep(before, "before")
+        scratch.release(lines, before)
     found = lines.join(before, ["h1", "h2"]).where(place > F.col("earliest"))
     return found.select("id", "key", "line").distinct()
 
@@ -218,19 +219,19 @@ def row_key(id_col: str, text_col: str):
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, max_edits: int = 1,
-    exact_chars: int = MIN_CHARS,
+    exact_chars: int = MIN_CHARS, added: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
-    """The rows of docs with their repeated lines taken out of the text, and n_lines, n_dropped."""
+    """The rows of docs with their repeated lines taken out of the text, and the counts of lines and dropped lines."""
     drops = duplicate_lines(docs, id_col, text_col, min_chars, max_edits, exact_chars)
     drops = drops.groupBy("id", "key").agg(F.sort_array(F.collect_list("line")).alias("__drop"))
     drops = drops.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "__drop")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    keep = [c for c in docs.columns if c not in added]
     rows = docs.select(*keep, row_key(id_col, text_col).alias("__row"))
     out = rows.join(drops, (F.col("__row") == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
     return out.select(
         *(F.when(F.col("__drop").isNull(), F.col(c)).otherwise(left).alias(c) if c == text_col else F.col(c) for c in keep),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.greatest(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(added[0]),
+        F.greatest(F.size("__drop"), F.lit(0)).cast("long").alias(added[1]),
     )

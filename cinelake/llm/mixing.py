@@ -189,6 +189,7 @@ def mix_sources(
         "source_size", "target", "whole", F.coalesce("ups", F.lit(0).cast("long")).alias("__ups"),
     )
     plan = scratch.keep(plan, "plan")
+    scratch.release(plan)
     added = ("size", "source_size", "target", "copies", "taken")
     rows = docs.select(*(c for c in docs.columns if c not in added or c in (id_col, text_col, source_col)), h.alias("__k"))
     same = F.col(source_col).eqNullSafe(F.col("__s")) & F.col(id_col).eqNullSafe(F.col("__d")) & (F.col("__k") == F.col("__h"))

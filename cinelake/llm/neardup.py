@@ -340,7 +340,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     nodes = nodes.join(least, "root").select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "least")
     texts = texts.select("h1", "h2", "rep").join(nodes, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")
     texts = texts.select("h1", "h2", "rep", F.coalesce("least", "rep").alias("root"))
-    return signed, scratch.keep(texts, "classes")
+    done = scratch.keep(texts, "classes")
+    scratch.release(signed, done)
+    return signed, done
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -1,13 +1,20 @@
-"""Tables kept in the folder all machines share, to cut lineage and to reuse results."""
+"""Tables kept in the folder all machines share, to cut lineage and to reuse results.
+
+An operator releases the tables that its result does not read. What its result reads stays until ``clear``, or until the
+driver's Python ends while the session still runs.
+"""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_LIVE: list[tuple[str, str]] = []  # (application, folder) of every Scratch not cleared yet
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,25 +31,55 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN[app]
 
 
+def _delete(spark_context: SparkContext, path: str) -> None:
+    p = spark_context._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark_context._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def mark() -> int:
+    """The place in the list of live folders, for clear()."""
+    return len(_LIVE)
+
+
+def clear(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables of all operator calls after the mark. Results not written yet that read them are lost."""
+    app = spark.sparkContext.applicationId
+    for owner, base in _LIVE[since:]:
+        if owner == app:
+            _delete(spark.sparkContext, base)
+    del _LIVE[since:]
+
+
+@atexit.register
+def _at_exit() -> None:
+    context = SparkContext._active_spark_context
+    for owner, base in _LIVE if context is not None else ():
+        if owner == context.applicationId:
+            _delete(context, base)
+
+
 class Scratch:
     """Written tables of one operator call."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.kept: list[tuple[DataFrame, str]] = []
         self.n = 0
+        _LIVE.append((spark.sparkContext.applicationId, self.base))
 
     def keep(self, df: DataFrame, label: str = "t") -> DataFrame:
         """Write df as Parquet and read it back: later plans start from the files, which outlive executors."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{label}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete the files of a table that keep() returned and nothing needs any more."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for f in df.inputFiles()[:1]:
-            p = jvm.org.apache.hadoop.fs.Path(f).getParent()
-            p.getFileSystem(conf).delete(p, True)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.kept.append((out, path))
+        return out
+
+    def release(self, *needed: DataFrame) -> None:
+        """Delete the files of all kept tables but these."""
+        for df, path in self.kept:
+            if not any(df is x for x in needed):
+                _delete(self.spark.sparkContext, path)
+        self.kept = [(df, path) for df, path in self.kept if any(df is x for x in needed)]
