@@ -4,11 +4,13 @@ The index is cut by documents into segments, each of about ``SEGMENT_BYTES`` of
 dictionary of term hashes, and for each term the ascending word positions in the segment as variable-byte gaps. A segment
 never parts a document, holds every token of its documents, and is built and searched by one task without a shuffle.
 
-Search takes the benchmark's windows in blocks of bounded size to every segment. A window whose terms are all in the
-dictionary is looked up from its rarest term there: its list, less the term's offset in the window, is intersected with
-the next rarest term's offset-adjusted list, and so on; what is left are the exact starts of the phrase. Occurrences
-over the end of a document do not count. Proximity search keeps the positions of the rarest term that have every
-other term within a distance.
+Search is a join. The benchmark's windows are a table of distinct runs of term hashes. Every window is sought by its rarest
+term, the one that the fewest segments hold; a window with a term that no segment holds is gone. The rarest terms are joined
+with the dictionaries, so a segment meets only windows whose rarest term it has, in lists of at most some CHUNK windows.
+There, lists of positions are intersected from the segment's rarest term on: its list, less the term's offset in the window,
+with the next rarest term's offset-adjusted list, and so on; what is left are the exact starts of the phrase. Occurrences
+over the end of a document do not count. Proximity search keeps the windows whose distinct words all stand, in any order,
+within ``span`` consecutive words of one document. Neither the benchmark nor the hits are ever held by the driver.
 
 Defined results: null texts and items have no words; an item of fewer words than a window, but not none, is one window;
 items without words and an empty benchmark hit nothing; an item id that occurs in several rows counts once; rows of a
@@ -17,13 +19,12 @@ null item id hit words but are not listed. Repeated documents are judged alike;
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +33,9 @@ from cinelake.llm.textcore import U64, column_bytes, slices, words
 
 WINDOW = 13
 SEGMENT_BYTES = 1 << 20
-BLOCK_BYTES = 8 << 20
-INDEX_SCHEMA = "n_words array<int>, terms binary, sizes binary, gaps binary"
+CHUNK = 8192  # windows that one search of a segment takes
+SPAN = 26
+INDEX_SCHEMA = "n_words array<int>, terms array<bigint>, sizes binary, gaps binary"
 
 
 def encode_gaps(x: np.ndarray) -> bytes:
@@ -62,7 +64,7 @@ def decode_gaps(data: bytes) -> np.ndarray:
     return out
 
 
-def pack_segment(hashes: np.ndarray) -> tuple[bytes, bytes, bytes]:
+def pack_segment(hashes: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
     """(term dictionary, how often each occurs, position gaps) of the words of a segment."""
     order = np.argsort(hashes, kind="stable")
     h = hashes[order]
@@ -72,7 +74,7 @@ def pack_segment(hashes: np.ndarray) -> tuple[bytes, bytes, bytes]:
     gaps = order.astype(np.int64)
     gaps[1:] -= order[:-1]
     gaps[at] = order[at]
-    return h[at].tobytes(), encode_gaps(np.diff(np.append(at, len(h)))), encode_gaps(gaps)
+    return h[at], encode_gaps(np.diff(np.append(at, len(h)))), encode_gaps(gaps)
 
 
 @dataclass
@@ -83,10 +85,11 @@ class Segment:
     ends: np.ndarray
     gaps: np.ndarray
     upto: np.ndarray  # words up to each document's end
+    lists: dict[int, np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def load(cls, n_words: np.ndarray, terms: bytes, sizes: bytes, gaps: bytes) -> Segment:
-        return cls(np.frombuffer(terms, U64), np.cumsum(decode_gaps(sizes)), decode_gaps(gaps), np.cumsum(n_words))
+    def load(cls, n_words: np.ndarray, terms: np.ndarray, sizes: bytes, gaps: bytes) -> Segment:
+        return cls(terms.view(U64), np.cumsum(decode_gaps(sizes)), decode_gaps(gaps), np.cumsum(n_words))
 
     def rank(self, terms: np.ndarray) -> np.ndarray:
         """Place of each term in the dictionary, -1 if absent."""
@@ -100,39 +103,53 @@ class Segment:
         return int(self.ends[rank] - (self.ends[rank - 1] if rank else 0))
 
     def positions(self, rank: int) -> np.ndarray:
-        return np.cumsum(self.gaps[self.ends[rank - 1] if rank else 0 : self.ends[rank]])
+        if rank not in self.lists:
+            self.lists[rank] = np.cumsum(self.gaps[self.ends[rank - 1] if rank else 0 : self.ends[rank]])
+        return self.lists[rank]
 
-    def phrase(self, ranks: np.ndarray, cache: dict[int, np.ndarray]) -> np.ndarray:
+    def document(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.upto, at, side="right")
+
+    def phrase(self, ranks: np.ndarray) -> np.ndarray:
         """Starts of the exact phrase of these terms within one document."""
         starts = None
         for k in sorted(range(len(ranks)), key=lambda i: self.size(ranks[i])):
-            r = int(ranks[k])
-            if r not in cache:
-                cache[r] = self.positions(r)
+            p = self.positions(int(ranks[k]))
             if starts is None:
-                starts = cache[r] - k
+                starts = p - k
                 starts = starts[starts >= 0]
             else:
-                at = np.searchsorted(cache[r], starts + k)
-                at[at == len(cache[r])] = 0
-                starts = starts[cache[r][at] == starts + k]
+                at = np.searchsorted(p, starts + k)
+                at[at == len(p)] = 0
+                starts = starts[p[at] == starts + k]
             if not len(starts):
                 return starts
-        doc = np.searchsorted(self.upto, starts, side="right")
-        return starts[starts + len(ranks) <= self.upto[doc]]
-
-    def near(self, ranks: np.ndarray, distance: int) -> np.ndarray:
-        """Positions of the rarest term that have every other term within the distance, in the same document."""
-        order = sorted(ranks, key=lambda r: self.size(int(r)))
-        at = self.positions(int(order[0]))
-        doc = np.searchsorted(self.upto, at, side="right")
-        low = np.where(doc > 0, self.upto[doc - 1], 0)
-        low, high = np.maximum(low, at - distance), np.minimum(self.upto[doc] - 1, at + distance)
+        return starts[starts + len(ranks) <= self.upto[self.document(starts)]]
+
+    def near(self, ranks: np.ndarray, span: int) -> np.ndarray:
+        """Documents in which all these terms stand within ``span`` consecutive words."""
+        lists = sorted((self.positions(int(r)) for r in np.unique(ranks)), key=len)
+        at = lists[0]  # a span holds an occurrence of the rarest, and all others within span - 1 words of it
+        doc = self.document(at)
+        low = np.maximum(np.where(doc > 0, self.upto[doc - 1], 0), at - span + 1)
+        high = np.minimum(self.upto[doc], at + span)
         ok = np.ones(len(at), dtype=bool)
-        for r in order[1:]:
-            p = self.positions(int(r))
-            ok &= np.searchsorted(p, high, side="right") > np.searchsorted(p, low, side="left")
-        return at[ok]
+        for p in lists[1:]:
+            ok &= np.searchsorted(p, high) > np.searchsorted(p, low)
+        found = set()
+        for d, a, b in zip(doc[ok].tolist(), low[ok], high[ok]):
+            if d not in found:
+                places = [p[np.searchsorted(p, a) : np.searchsorted(p, b)] for p in lists]
+                # the tightest span that starts at each place: it ends where the last of the terms next occurs
+                starts = np.concatenate(places)
+                after = [np.append(p, b + span)[np.searchsorted(p, starts)] for p in places]
+                if (np.max(after, axis=0) - starts < span).any():
+                    found.add(d)
+        return np.array(sorted(found), np.int64)
+
+
+def row_key(id_col: str, text_col: str):
+    return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
@@ -144,129 +161,115 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def lists(values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
         for b in batches:
             for first, end, data, offsets in slices(b.column(2), segment_bytes):
                 hashes, _, upto = words(data, offsets)
-                n = end - first
-                cut = pa.array([0, n], pa.int32())
-                ids = pa.ListArray.from_arrays(cut, b.column(0).slice(first, n))
-                keys = pa.ListArray.from_arrays(cut, b.column(1).slice(first, n))
-                counts = pa.ListArray.from_arrays(cut, pa.array(np.diff(upto).astype(np.int32)))
-                packed = [pa.array([x], pa.binary()) for x in pack_segment(hashes)]
-                yield pa.RecordBatch.from_arrays([ids, keys, counts, *packed], names=[f.name for f in out])
+                terms, sizes, gaps = pack_segment(hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        lists(b.column(0).slice(first, end - first)), lists(b.column(1).slice(first, end - first)),
+                        lists(pa.array(np.diff(upto).astype(np.int32))), lists(pa.array(terms.view(np.int64))),
+                        pa.array([sizes], pa.binary()), pa.array([gaps], pa.binary()),
+                    ],
+                    names=[f.name for f in out],
+                )
 
     return src.mapInArrow(run, out)
 
 
-def row_key(id_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col), F.col(text_col))
-
-
-@dataclass
-class Block:
-    """Some of the benchmark's windows: distinct terms, each window's terms (padded with -1), and its items."""
+def benchmark_windows(bench: DataFrame, item_col: str, text_col: str, window: int = WINDOW) -> DataFrame:
+    """(grams, item): the runs of term hashes of every item's windows."""
+    src = bench.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
 
-    terms: np.ndarray
-    grams: np.ndarray
-    length: np.ndarray
-    owners: list[list[str | None]]
-
-
-def make_block(items: list[tuple[str | None, str]], window: int = WINDOW) -> Block | None:
-    """The distinct windows of some items."""
-    column = pa.array([t for _, t in items], pa.string())
-    hashes, _, upto = words(*column_bytes(column))
-    if not len(hashes):
-        return None
-    terms, code = np.unique(hashes, return_inverse=True)
-    found: dict[bytes, int] = {}
-    rows, owners = [], []
-    for (item, _), a, b in zip(items, upto[:-1], upto[1:]):
-        width = min(window, b - a)
-        for start in range(a, b - width + 1) if width else ():
-            gram = np.full(window, -1, np.int64)
-            gram[:width] = code[start : start + width]
-            k = found.setdefault(gram.tobytes(), len(rows))
-            if k == len(rows):
-                rows.append(gram)
-                owners.append([])
-            if item not in owners[k]:
-                owners[k].append(item)
-    grams = np.stack(rows)
-    return Block(terms, grams, (grams >= 0).sum(axis=1), owners)
-
-
-def benchmark_blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int, window: int) -> Iterator[Block]:
-    """The benchmark in blocks of about block_bytes, one at a time on the driver."""
-    src = bench.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        part = src if n == 1 else src.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k)
-        block = make_block([(r["id"], r["text"]) for r in part.collect()], window)
-        if block:
-            yield block
-
-
-def _search(seg: Segment, block: Block, hits: np.ndarray, listed: set) -> None:
-    """Adds the block's occurrences in a segment: steps of covered words in hits, (document, item) in listed."""
-    rank = np.append(seg.rank(block.terms), 0)  # the pad, -1, is always there
-    for w in np.flatnonzero((rank[block.grams] >= 0).all(axis=1)):
-        size = block.length[w]
-        starts = seg.phrase(rank[block.grams[w, :size]], seg_cache(seg))
-        if len(starts):
-            hits[starts] += 1
-            hits[starts + size] -= 1
-            for d in np.unique(np.searchsorted(seg.upto, starts, side="right")).tolist():
-                listed.update((d, item) for item in block.owners[w])
-
-
-def seg_cache(seg: Segment) -> dict[int, np.ndarray]:
-    if not hasattr(seg, "_cache"):
-        seg._cache = {}
-    return seg._cache
-
-
-RESULT = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-
-
-def search_index(index: DataFrame, blocks: list, id_type: T.DataType) -> DataFrame:
-    """One row per indexed document: id, key and the result columns. blocks: broadcast Blocks."""
-    out = T.StructType([T.StructField("id", id_type), T.StructField("key", T.LongType()), *T._parse_datatype_string(RESULT).fields])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, end, data, offsets in slices(b.column(1)):
+                hashes, _, upto = words(data, offsets)
+                for i, (lo, hi) in enumerate(zip(upto[:-1], upto[1:]), first):
+                    width, n = min(window, hi - lo), max(1, hi - lo - window + 1)
+                    if width:
+                        rows = np.lib.stride_tricks.sliding_window_view(hashes[lo:hi].view(np.int64), width)
+                        cut = pa.array(np.arange(n + 1, dtype=np.int32) * width)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.ListArray.from_arrays(cut, pa.array(rows.ravel())), b.column(0).take(pa.array([i] * n, pa.int32()))],
+                            names=["grams", "item"],
+                        )
+
+    return src.mapInArrow(run, "grams array<bigint>, item string")
+
+
+def search_index(index: DataFrame, windows: DataFrame, scratch: Scratch, span: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """index with seg, windows(wid, grams) -> hits (seg, doc, start, size, wid): exact occurrences, start and size in words;
+    with ``span``, (seg, doc, wid) of the windows whose words stand within it, start and size 0. doc: place in the segment."""
+    terms = windows.select("wid", F.explode(F.array_distinct("grams")).alias("term"))
+    vocabulary = scratch.keep(terms.select("term").distinct(), "vocabulary")
+    postings = index.select("seg", F.explode("terms").alias("term")).join(vocabulary, "term", "left_semi")
+    postings = scratch.keep(postings, "postings")
+    often = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    rarest = terms.join(often, "term").groupBy("wid").agg(F.min(F.struct("n", "term"))["term"].alias("term"), F.count(F.lit(1)).alias("held"))
+    rarest = windows.join(rarest, "wid").where(F.col("held") == F.size(F.array_distinct("grams"))).select("wid", "grams", "term")
+    met = scratch.keep(rarest.join(postings, "term").select("seg", "wid", "grams"), "met")
+    parts = met.groupBy("seg").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
+    met = met.join(parts, "seg").withColumn("part", F.pmod(F.xxhash64("wid"), F.col("parts")))
+    lists = met.groupBy("seg", "part").agg(F.collect_list(F.struct("wid", "grams")).alias("wanted"))
+    src = index.select("seg", "n_words", "terms", "sizes", "gaps").join(lists, "seg").select("seg", "n_words", "terms", "sizes", "gaps", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            segs = []
             for i in range(b.num_rows):
-                n_words = b.column(2)[i].values.to_numpy(zero_copy_only=False)
-                segs.append(Segment.load(n_words, *(b.column(c)[i].as_py() for c in (3, 4, 5))))
-            hits = [np.zeros(len(s.gaps) + 1, np.int32) for s in segs]
-            listed: list[set] = [set() for _ in segs]
-            for shared in blocks:
-                block = shared.value
-                for k, seg in enumerate(segs):
-                    _search(seg, block, hits[k], listed[k])
-            for i, seg in enumerate(segs):
-                covered = np.concatenate([[0], np.cumsum(np.cumsum(hits[i][:-1]) > 0)])
-                upto = np.concatenate([[0], seg.upto])
-                n_words = np.diff(upto)
-                n_hit = np.diff(covered[upto])
-                items: dict[int, list[str]] = {}
-                for d, item in listed[i]:
-                    if item is not None:
-                        items.setdefault(d, []).append(item)
-                names = [sorted(items.get(d, ())) for d in range(len(n_words))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0)[i].values, b.column(1)[i].values, pa.array(n_words.astype(np.int64)),
-                        pa.array(n_hit.astype(np.int64)), pa.array([len(x) for x in names], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names], pa.string()),
-                        pa.array((n_hit > 0) & (20 * n_hit >= n_words)),
-                    ],
-                    names=[f.name for f in out],
-                )
-
-    return index.mapInArrow(run, out)
+                n_words, terms = (b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 2))
+                seg = Segment.load(n_words, terms, b.column(3)[i].as_py(), b.column(4)[i].as_py())
+                wanted = b.column(5)[i].values
+                wids, grams = wanted.field(0).to_numpy(zero_copy_only=False), wanted.field(1)
+                cuts = grams.offsets.to_numpy()
+                ranks = seg.rank(grams.values.to_numpy(zero_copy_only=False).view(U64))
+                rows: list[np.ndarray] = []
+                for w, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+                    own = ranks[lo:hi]
+                    if (own < 0).any():
+                        continue
+                    if span is None:
+                        at = seg.phrase(own)
+                        doc, size = seg.document(at), hi - lo
+                        at = at - np.where(doc > 0, seg.upto[doc - 1], 0)
+                    else:
+                        doc, size = seg.near(own, span), 0
+                        at = np.zeros(len(doc), np.int64)
+                    if len(doc):
+                        rows.append(np.stack([doc, at, np.full(len(doc), size), np.full(len(doc), wids[w])]))
+                if rows:
+                    found = np.concatenate(rows, axis=1).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(found.shape[1], b.column(0)[i].as_py(), np.int64)), *map(pa.array, found)],
+                        names=["seg", "doc", "start", "size", "wid"],
+                    )
+
+    return scratch.keep(src.mapInArrow(run, "seg bigint, doc bigint, start bigint, size bigint, wid bigint"), "hits")
+
+
+def _indexed(
+    docs: DataFrame, bench: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, window: int, segment_bytes: int
+) -> tuple[Scratch, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(scratch, index, its documents, windows, (wid, item) of the windows' items), kept."""
+    scratch = Scratch(docs.sparkSession, "index")
+    index = build_index(docs, id_col, text_col, segment_bytes).withColumn("seg", F.monotonically_increasing_id())
+    index = scratch.keep(index, "segments")  # written once, so the numbers stay
+    each = F.arrays_zip("ids", "keys", "n_words")
+    rows = index.select("seg", F.posexplode(each).alias("doc", "x"))
+    rows = rows.select("seg", F.col("doc").cast("long").alias("doc"), F.col("x.ids").alias("id"), F.col("x.keys").alias("key"), F.col("x.n_words").cast("long").alias("n_words"))
+    pairs = scratch.keep(benchmark_windows(bench, item_col, item_text_col, window), "pairs")
+    windows = scratch.keep(pairs.select("grams").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
+    owners = pairs.where("item is not null").join(windows, "grams").select("wid", "item").distinct()
+    return scratch, index, rows, windows, scratch.keep(owners, "owners")
+
+
+def _listed(hits: DataFrame, owners: DataFrame) -> DataFrame:
+    """(seg, doc, items): the sorted items of each document's windows."""
+    found = hits.select("seg", "doc", "wid").distinct().join(owners, "wid").select("seg", "doc", "item").distinct()
+    return found.groupBy("seg", "doc").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
 def decontaminate(
@@ -277,31 +280,46 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
     segment_bytes: int = SEGMENT_BYTES,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per document: id, key (row_key), n_words, n_hit, n_items, items_sha256, contaminated."""
-    spark = docs.sparkSession
-    index = Scratch(spark, "index").keep(build_index(docs, id_col, text_col, segment_bytes), "segments")
-    blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(bench, item_col, item_text_col, block_bytes, window)]
-    return search_index(index, blocks, docs.schema[id_col].dataType).withColumnRenamed("id", id_col)
-
-
-def proximity_matches(index: DataFrame, query: str, distance: int, id_type: T.DataType) -> DataFrame:
-    """(id, n): how often the query's rarest word has all its other words within ``distance`` words."""
-    terms = np.unique(words(*column_bytes(pa.array([query])))[0])
-    out = T.StructType([T.StructField("id", id_type), T.StructField("n", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                n_words = b.column(2)[i].values.to_numpy(zero_copy_only=False)
-                seg = Segment.load(n_words, *(b.column(c)[i].as_py() for c in (3, 4, 5)))
-                ranks = seg.rank(terms)
-                if not len(terms) or (ranks < 0).any():
-                    continue
-                docs, n = np.unique(np.searchsorted(seg.upto, seg.near(ranks, distance), side="right"), return_counts=True)
-                if len(docs):
-                    yield pa.RecordBatch.from_arrays([b.column(0)[i].values.take(pa.array(docs)), pa.array(n.astype(np.int64))], names=["id", "n"])
-
-    return index.mapInArrow(run, out)
+    scratch, index, rows, windows, owners = _indexed(docs, bench, id_col, text_col, item_col, item_text_col, window, segment_bytes)
+    hits = search_index(index, windows, scratch, chunk=chunk)
+    # Words covered: what each occurrence, in order, adds past the furthest end before it.
+    w = Window.partitionBy("seg", "doc").orderBy("start", "end")
+    spans = hits.select("seg", "doc", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    before = F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    new = F.greatest(F.col("end") - F.greatest(F.col("start"), before), F.lit(0))
+    covered = spans.select("seg", "doc", new.alias("new")).groupBy("seg", "doc").agg(F.sum("new").alias("n_hit"))
+    facts = scratch.keep(covered.join(_listed(hits, owners), ["seg", "doc"], "left"), "facts")
+    scratch.release(index, facts)
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return rows.join(facts, ["seg", "doc"], "left").select(
+        F.col("id").alias(id_col), "key", "n_words", n_hit.alias("n_hit"),
+        F.greatest(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
+        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+def proximity_matches(
+    docs: DataFrame,
+    bench: DataFrame,
+    span: int = SPAN,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    segment_bytes: int = SEGMENT_BYTES,
+) -> DataFrame:
+    """One row per document: id, n_words, n_near_items and near_items_sha256 of the items with a window whose distinct words all
+    stand, in any order, within ``span`` consecutive words. Every exact occurrence is one of them if span >= window."""
+    scratch, index, rows, windows, owners = _indexed(docs, bench, id_col, text_col, item_col, item_text_col, window, segment_bytes)
+    facts = scratch.keep(_listed(search_index(index, windows, scratch, span), owners), "facts")
+    scratch.release(index, facts)
+    return rows.join(facts, ["seg", "doc"], "left").select(
+        F.col("id").alias(id_col), "n_words", F.greatest(F.size("items"), F.lit(0)).cast("long").alias("n_near_items"),
+        F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("near_items_sha256"),
+    )

@@ -29,6 +29,13 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("key")
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity search of the same index."""
+    from cinelake.llm.decontam import proximity_matches
+
+    return proximity_matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cinelake.llm.linededup import ALL_LINES, dedup_lines
 
@@ -76,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_secret_scan, op3_benchmark_decontamination, op4_line_dedup, op5_minhash_near_dedup,
-        op6_html_extraction, op7_language_id, op8_source_mixing, op9_url_filter, op10_media_fingerprints,
+        op6_html_extraction, op7_language_id, op8_source_mixing, op9_url_filter, op10_media_fingerprints, benchmark_proximity,
     )
 }
 

@@ -37,7 +37,7 @@ def contamination_of(docs, bench, **how):
     return {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in rows}
 
 
-@pytest.mark.parametrize("how", [{}, {"block_bytes": 400, "segment_bytes": 2000}])
+@pytest.mark.parametrize("how", [{}, {"chunk": 3, "segment_bytes": 2000}])
 def test_contamination_real(spark, sf_dir, how):
     docs, bench = real_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     want = brute_contamination([(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in bench.collect()])
@@ -63,11 +63,39 @@ def test_contamination_odd_rows(spark):
     assert not decontam.decontaminate(docs_of(spark), bench.limit(0)).where("n_hit > 0").count()
 
 
-def test_proximity(spark):
-    docs = docs_of(spark, [(1, "alpha x x beta", "", "", 1, 1, "", ""), (2, "alpha " + "x " * 9 + "beta", "", "", 1, 1, "", ""), (3, "beta alpha beta alpha", "", "", 1, 1, "", "")])
-    index = decontam.build_index(docs)
-    got = {r["id"]: r["n"] for r in decontam.proximity_matches(index, "Beta alpha", 3, docs.schema["doc_id"].dataType).collect()}
-    assert got == {1: 1, 3: 2}
+def brute_near(docs, items, span, size=13):
+    out = {}
+    for doc, text in docs:
+        w, found = words_of(text), set()
+        for item, t in items:
+            x = words_of(t)
+            for i in range(max(1, len(x) - size + 1)) if x else ():
+                want = set(x[i : i + size])
+                if any(want <= set(w[a : a + span]) for a in range(len(w))):
+                    found.add(str(item))
+                    break
+        out[doc] = (len(w), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("span", [1, 4, 9, 26])
+def test_proximity_brute_force(spark, span):
+    rng = random.Random(6)
+    word = lambda: rng.choice("abcdefgh")
+    items = [(i, " ".join(word() for _ in range(rng.choice((1, 2, 3, 5, 15))))) for i in range(12)] + [(50, None), (51, "zz")]
+    docs = [(i, " ".join(word() for _ in range(rng.randint(0, 30)))) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    table = docs_of(spark, [(i, t, "en", "a", 1, 1, "x", "y") for i, t in docs])
+    rows = decontam.proximity_matches(table, bench, span, segment_bytes=90).collect()
+    got = {r["doc_id"]: (r["n_words"], r["n_near_items"], r["near_items_sha256"]) for r in rows}
+    assert got == brute_near(docs, items, span) and any(x[1] for x in got.values())
+
+
+def test_proximity_holds_exact_hits(spark, sf_dir):
+    docs, bench = real_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    near = {r["doc_id"]: r["n_near_items"] for r in decontam.proximity_matches(docs, bench).collect()}
+    exact = decontam.decontaminate(docs, bench).collect()
+    assert any(r["n_items"] for r in exact) and all(near[r["doc_id"]] >= r["n_items"] for r in exact)
 
 
 def test_gap_code():
