@@ -11,13 +11,15 @@ Join: coordinates are banded (BANDS x ROWS). The aim is the components of the li
 already need no comparison. Each document is first compared, by exact similarity, with one first member of its buckets;
 then with the first members of its other buckets where the components differ. After that a member is in the component of
 its bucket's first member or has failed against it. What is left are the pairs of a bucket in different components:
-in buckets of at most SMALL they are listed, in larger ones compared in cells of two blocks, as matrix products that give
-rows only for links. So every pair that shares a bucket is compared or connected, whatever the bucket's size, and no list
-of pairs grows with the square of a bucket. Components are found by large-star and small-star rounds on tables.
+in buckets of at most SMALL they are listed, in larger ones compared in cells of two blocks of bounded bytes, as matrix
+products that give rows only for links. So every pair that shares a bucket is compared or connected, whatever the bucket's
+size, and no list of pairs grows with the square of a bucket. Components are found by large-star and small-star rounds on
+tables. Different texts are told apart by 128 bits and numbered, so that links never mix up two of them.
 
 Defined results: equal texts are one class; a null text, and one without words, is a class of its own row's id; a text of
 fewer than five words has one shingle of all its words; repeated rows share a class; null ids come last and get the class
-of the group, or null alone; an empty table gives an empty table; extra columns are not read.
+of the group, or null alone; an empty table gives an empty table; extra columns are not read. Texts are read in slices, one
+longer than a slice alone, so memory grows with the longest text.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ BANDS, ROWS = 24, 6
 K = BANDS * ROWS
 DARTS = K * math.log(K) + 2 * K
 SMALL = 32  # members of a bucket whose open pairs are listed
-BLOCK = 384  # members in a block of a cell
+BLOCK, BLOCK_BYTES = 384, 8 << 20  # members in a block of a cell, and bytes of their features
 CHUNK = 256  # comparisons with one document that go to one task's key
 
 
@@ -198,21 +200,28 @@ def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, thre
     found = compare(scratch.keep(pairs, "cross"), features).where(F.col("sim") >= threshold).select("x", "y")
     links = links.unionByName(scratch.keep(found, "links"))
     large = star.where(F.col("m") > SMALL)
-    if large.limit(1).count():
+    if large.limit(1).count():  # else there is no cell to fill
         links = links.unionByName(scratch.keep(block_links(large, features, threshold), "blocks"))
     return links.distinct()
 
 
 def block_links(large: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
-    """large(key, x, m, n_out, c, out) -> links between different components of a bucket, by cells of two blocks.
+    """large(key, x, c, out) -> links between different components of a bucket, by cells of two blocks.
 
-    The members outside the first member's component are dealt into blocks of about BLOCK, and so are the rest. A cell
+    The members outside the first member's component are dealt into blocks of about BLOCK members and BLOCK_BYTES bytes at
+    most, and so are the rest. A cell
     compares a block of the former with one of the latter or with another (or the same) of its own kind, so a cell
     holds at most some 2 * BLOCK features and gives at most as many links.
     """
-    n_out = F.ceil(F.col("n_out") / BLOCK).cast("int")
-    n_in = F.greatest(F.ceil((F.col("m") - F.col("n_out")) / BLOCK), F.lit(1)).cast("int")
-    rows = large.withColumn("no", n_out).withColumn("ni", n_in)
+    sizes = features.select("x", F.octet_length("feature").alias("bytes"))
+    rows = large.select("key", "x", "c", "out").join(sizes.hint("merge"), "x")
+
+    def blocks(which: Column) -> Column:
+        by_bytes = F.sum(F.when(which, F.col("bytes")).otherwise(0)) / BLOCK_BYTES
+        return F.greatest(F.ceil(F.greatest(F.count_if(which) / BLOCK, by_bytes)), F.lit(1)).cast("int")
+
+    per = rows.groupBy("key").agg(blocks(F.col("out")).alias("no"), blocks(~F.col("out")).alias("ni"))
+    rows = rows.join(per, "key")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("x"), F.when(F.col("out"), F.col("no")).otherwise(F.col("ni"))).cast("int"))
     over = lambda n: F.sequence(F.lit(0), n - 1)
     cell = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("left"))
@@ -291,11 +300,14 @@ def cell_similarities(left: list[bytes], right: list[bytes], width: int = 8192)
     return shared / (ta[:, None] + tb[None, :] - shared)
 
 
-def components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> DataFrame:
-    """links(x, y) -> (x, root) of every linked node but the roots: large-star and small-star until nothing changes."""
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """links(x, y) -> (x, root) of every linked node but the roots: large-star and small-star until nothing changes.
+
+    The stars settle after a number of rounds that grows with the logarithm of the nodes.
+    """
     edges = scratch.keep(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
     before = None
-    for _ in range(most_rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large-star: larger neighbours of u go to the least of u's neighbourhood
@@ -308,34 +320,33 @@ def components(links: DataFrame, scratch: Scratch, most_rounds: int = 60) -> Dat
         if now == before:
             return edges.select(F.col("u").alias("x"), F.col("v").alias("root"))
         before = now
-    raise RuntimeError("components did not settle")
 
 
 def text_hashes(text_col: str) -> tuple[Column, Column]:
-    """128 bits that tell texts apart; the first half also names a text in the links."""
+    """128 bits that tell texts apart."""
     return F.xxhash64(F.col(text_col)).alias("h1"), F.xxhash64(F.lit(1), F.col(text_col)).alias("h2")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(rows: id, h1, h2, bands; texts with words: h1, h2, rep = (nul, id, h1) of the text, root = that of its class)."""
+    """(rows: id, h1, h2, bands; texts with words: h1, h2, rep = (nul, id, h1, h2) of the text, root = that of its class)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     src = docs.select(F.col(id_col).alias("id"), *text_hashes(text_col), F.col(text_col).alias("text"))
     signed = scratch.keep(_signed_docs(src), "signed")
-    who = F.struct(F.col("id").isNull().alias("nul"), "id", "h1")
+    who = F.struct(F.col("id").isNull().alias("nul"), "id", "h1", "h2")
     texts = signed.where("bands is not null").groupBy("h1", "h2").agg(F.min(who).alias("rep"), F.any_value("bands").alias("bands"))
-    texts = scratch.keep(texts, "texts")
-    entries = texts.select(F.col("h1").alias("x"), F.explode("bands").alias("key"))
+    texts = scratch.keep(texts.withColumn("x", F.monotonically_increasing_id()), "texts")  # written once, so the numbers stay
+    entries = texts.select("x", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a != b").select("key")
     members = scratch.keep(entries.join(shared, "key", "left_semi").select("key", "x"), "buckets")
-    wanted = members.select("x").distinct().withColumnRenamed("x", "h1")
-    wanted = texts.join(wanted, "h1", "left_semi").select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("rep.id").alias("wid"))
+    wanted = texts.join(members.select("x").distinct(), "x", "left_semi")
+    wanted = wanted.select("x", F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("rep.id").alias("wid"))
     same = (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("wid"))
-    chosen = src.join(scratch.keep(wanted, "wanted").hint("merge"), same, "left_semi").select(F.col("h1").alias("x"), "text")
+    chosen = src.join(scratch.keep(wanted, "wanted").hint("merge"), same).select("x", "text")
     features = scratch.keep(_features(chosen).dropDuplicates(["x"]), "features")
     links = scratch.keep(bucket_links(members, features, scratch, threshold), "links")
     roots = components(links, scratch)
-    nodes = roots.unionByName(roots.select(F.col("root").alias("x"), "root").distinct()).withColumnRenamed("x", "h1")
-    nodes = texts.select("h1", "h2", "rep").join(nodes, "h1")
+    nodes = roots.unionByName(roots.select(F.col("root").alias("x"), "root").distinct())
+    nodes = texts.select("x", "h1", "h2", "rep").join(nodes, "x")
     least = nodes.groupBy("root").agg(F.min("rep").alias("least"))
     nodes = nodes.join(least, "root").select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "least")
     texts = texts.select("h1", "h2", "rep").join(nodes, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")

@@ -174,10 +174,11 @@ def spread_copies():
     return rows
 
 
-@pytest.mark.parametrize("small, block", [(32, 384), (3, 8), (1, 1)])
-def test_spread_copies_brute_force(spark, monkeypatch, small, block):
+@pytest.mark.parametrize("small, block, size", [(32, 384, 1 << 23), (3, 8, 1 << 23), (1, 1, 1 << 23), (3, 384, 9000)])
+def test_spread_copies_brute_force(spark, monkeypatch, small, block, size):
     monkeypatch.setattr(neardup, "SMALL", small)
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
     rows = spread_copies()
     docs = docs_of(spark, [(i, t, "en", "a", 1, 1, "x", "y") for i, t in rows])
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs).collect()}
