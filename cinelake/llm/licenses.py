@@ -1,17 +1,25 @@
 """Licence scan: normalised text against licence templates by the Dice coefficient over word bigrams.
 
-Text is normalised to its words (see textcore). Units of a text: each line, each paragraph (lines between lines without
-words) and the whole text. A unit of b distinct bigrams can only reach Dice d with a template of t if b lies between
-t * d / (2 - d) and t * (2 - d) / d, and if at least t * d / (2 - d) of its bigrams occur in templates; other templates and
-units are pruned without loss. Best match: greatest Dice, ties by template order.
+Text is normalised to its words (see textcore). A match is a span of a text that begins and ends with a bigram of a template and
+reaches Dice ``dice`` with it. A span of b distinct bigrams can only do so if b lies between t * d / (2 - d) and t * (2 - d) / d
+for a template of t, and if at least t * d / (2 - d) of its bigrams are the template's. So a template is only compared where
+that many of its bigrams stand within the greatest size; all others are pruned without loss. Spans do not mind lines, so a
+notice is found inside longer lines, wrapped, or next to other text. From each such start the end of the greatest Dice is
+taken (the nearest on ties). A span must hold the template's numbers and distinctive names, and no other distinctive name:
+versions and variants of a licence differ by little else.
+
+Of overlapping matches the greatest Dice stays, then the most shared bigrams, then the first template, then the first place.
 
 Defined results: a null text, and one that matches nothing, gets a null licence, Dice 0 and no matches; repeated rows are
-judged alike; an empty table gives an empty table; extra columns are not read.
+judged alike; an empty table gives an empty table; extra columns are not read. Work grows with the text and its matches; a
+text longer than a slice is read alone, in memory that grows with it.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -19,115 +27,98 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from cinelake.llm.license_texts import NAMES, TEMPLATES
 from cinelake.llm.textcore import column_bytes, slices, windows, words
 
 DICE = 0.8
-# Licence notices and bodies as their publishers word them.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    (
-        "Apache-2.0",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
-        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
-        "applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
-        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
-        "governing permissions and limitations under the License.",
-    ),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    (
-        "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
-        "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
-        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
-        "and this permission notice shall be included in all copies or substantial portions of the Software.",
-    ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "GPL-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
-        "version.",
-    ),
-    (
-        "LGPL-3.0",
-        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
-        "Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any "
-        "later version.",
-    ),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
-    (
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met:",
-    ),
-    (
-        "MPL-2.0",
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
-    ),
-    (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies.",
-    ),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """sets: each template's bigrams; vocabulary: all of them; of each one its templates in owner[first[i] : first[i + 1]];
+    longest: positions that a span may take; must: numbers and names of each template; names: hashes of the names."""
+
+    sets: list[np.ndarray]
+    vocabulary: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+    size: np.ndarray
+    longest: np.ndarray
+    must: list[frozenset[int]]
+    names: frozenset[int]
 
 
 @lru_cache(maxsize=4)
-def _prepared(templates: tuple[tuple[str, str], ...]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(bigrams of each template, all of them, number of each template's)."""
-    hashes, _, upto = words(*column_bytes(pa.array([t for _, t in templates])))
-    sets = [np.unique(windows(hashes[a:b], 2)) for a, b in zip(upto[:-1], upto[1:])]
-    return sets, np.unique(np.concatenate(sets)), np.array([len(s) for s in sets])
+def _prepared(templates: tuple[tuple[str, str], ...], dice: float) -> Prepared:
+    hashes, _, upto = words(*column_bytes(pa.array([t for _, t in templates], pa.string())))
+    special = set(words(*column_bytes(pa.array(NAMES)))[0].tolist())
+    numbers = set(words(*column_bytes(pa.array([str(i) for i in range(100)])))[0].tolist())
+    each = [hashes[a:b] for a, b in zip(upto[:-1], upto[1:])]
+    sets = [np.unique(windows(x, 2)) for x in each]
+    vocabulary, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(at, kind="stable")
+    longest = np.array([int((len(x) - 1) * (2 - dice) / dice + 1e-9) for x in each])
+    must = [frozenset(set(x.tolist()) & (special | numbers)) for x in each]
+    first = np.searchsorted(at[order], np.arange(len(vocabulary) + 1))
+    return Prepared(sets, vocabulary, first, owner[order], np.array([len(x) for x in sets]), longest, must, frozenset(special))
+
+
+def _best_end(own: np.ndarray, template: np.ndarray) -> tuple[float, int, int]:
+    """Of the spans that start here and end with a template's bigram: the greatest Dice, its length, its shared bigrams."""
+    _, at = np.unique(own, return_index=True)
+    new = np.zeros(len(own), dtype=np.int64)
+    new[at] = 1
+    known = template[np.minimum(np.searchsorted(template, own), len(template) - 1)] == own
+    shared = np.cumsum(new * known)
+    dice = np.where(known, 2 * shared / (np.cumsum(new) + len(template)), 0.0)
+    end = int(dice.argmax())
+    return float(dice[end]), end + 1, int(shared[end])
 
 
 def scan_slice(
     data: np.ndarray, offsets: np.ndarray, templates: tuple[tuple[str, str], ...], dice: float
-) -> list[tuple[int, int, float]]:
-    """(text, template, Dice) of every unit's best template that reaches the bound; units in order."""
-    sets, vocabulary, sizes = _prepared(templates)
-    share = dice / (2 - dice)
-    newlines = np.flatnonzero(data == 10) + 1
-    lines = np.unique(np.concatenate([offsets, newlines]))
-    hashes, line, upto = words(data, lines)
+) -> list[tuple[int, int, int, int, float]]:
+    """(text, first word, end word, template, Dice) of every match, by text and place."""
+    p = _prepared(templates, dice)
+    hashes, text, upto = words(data, offsets)
     if len(hashes) < 2:
         return []
     bigram = windows(hashes, 2)
-    known = vocabulary[np.minimum(np.searchsorted(vocabulary, bigram), len(vocabulary) - 1)] == bigram
-    text_of_line = np.searchsorted(offsets, lines[:-1], side="right") - 1
-    new = np.ones(len(lines) - 1, dtype=bool)  # a line that starts a paragraph
-    new[1:] = (text_of_line[1:] != text_of_line[:-1]) | (np.diff(upto)[:-1] == 0)
-    paragraph = np.cumsum(new) - 1
-    out: set[tuple[int, int, int, int, float]] = set()
-    for kind, group in enumerate((np.arange(len(lines) - 1), paragraph, text_of_line)):
-        unit = group[line]
-        inside = unit[:-1] == unit[1:]
-        hits = np.bincount(unit[:-1][inside & known], minlength=int(group[-1]) + 1)
-        for u in np.flatnonzero(hits >= max(1, np.ceil(share * sizes.min() - 1e-9))):
-            a, b = np.searchsorted(unit, [u, u + 1])
-            own = np.unique(bigram[a : b - 1])
-            best: tuple[float, int] | None = None
-            for t in np.flatnonzero((len(own) >= sizes * share - 1e-9) & (len(own) <= sizes / share + 1e-9)):
-                at = np.minimum(np.searchsorted(own, sets[t]), len(own) - 1)
-                d = 2 * int((own[at] == sets[t]).sum()) / (len(own) + int(sizes[t]))
-                if d >= dice and (best is None or d > best[0]):
-                    best = (d, int(t))
-            if best:
-                text = int(text_of_line[line[a]])
-                out.add((text, int(a), int(b), best[1], best[0]))  # a line that is its own paragraph counts once
-    return [(text, t, d) for text, _, _, t, d in sorted(out)]
-
-
-SCHEMA = "license string, dice double, n_matches bigint, licenses string"
+    code = np.minimum(np.searchsorted(p.vocabulary, bigram), len(p.vocabulary) - 1)
+    at = np.flatnonzero((p.vocabulary[code] == bigram) & (text[:-1] == text[1:]))
+    many = np.diff(p.first)[code[at]]
+    within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    template = p.owner[np.repeat(p.first[code[at]], many) + within]
+    place = np.repeat(at, many)
+    order = np.lexsort((place, template))  # texts follow one another, so places tell them apart
+    template, place = template[order], place[order]
+    need = np.maximum(np.ceil(p.size * dice / (2 - dice) - 1e-9).astype(np.int64), 1)[template]
+    other = np.arange(len(place)) + need - 1
+    ok = other < len(place)
+    ok[ok] &= (template[other[ok]] == template[ok]) & (place[other[ok]] - place[ok] < p.longest[template[ok]])
+    ok[ok] &= text[place[other[ok]]] == text[place[ok]]
+    found: list[tuple[int, float, int, int, int, int]] = []
+    for i in np.flatnonzero(ok):
+        t, a = int(template[i]), int(place[i])
+        end = min(a + int(p.longest[t]), int(upto[text[a] + 1]) - 1)
+        d, length, shared = _best_end(bigram[a:end], p.sets[t])
+        if d >= dice:
+            own = set(hashes[a : a + length + 1].tolist())
+            if p.must[t] <= own and own & p.names <= p.must[t]:
+                found.append((int(text[a]), -d, -shared, t, a, a + length + 1))
+    out: list[tuple[int, int, int, int, float]] = []
+    taken: dict[int, list[tuple[int, int]]] = {}
+    for own, d, _, t, a, b in sorted(found):
+        spans = taken.setdefault(own, [])
+        k = bisect_right(spans, (a, b))
+        if (k == 0 or spans[k - 1][1] <= a) and (k == len(spans) or b <= spans[k][0]):
+            spans.insert(k, (a, b))
+            out.append((own, a - int(upto[own]), b - int(upto[own]), t, -d))
+    return sorted(out)
+
+
+SCHEMA = "license string, dice double, n_matches bigint, licenses string, spans string"
 
 
 def scan_licenses(
@@ -137,24 +128,26 @@ def scan_licenses(
     templates: Sequence[tuple[str, str]] = TEMPLATES,
     dice: float = DICE,
 ) -> DataFrame:
-    """One row per row: id, the best licence, its Dice, the number of matching units, all licences found."""
+    """One row per row: id, the licence of the best match, its Dice, the number of matches, all licences found, and the matches
+    as ``licence:first word:end word``."""
     src = docs.select(id_col, text_col)
     out = T.StructType([src.schema[id_col], *T._parse_datatype_string(SCHEMA).fields])
     templates = tuple(templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple] = [(None, 0.0, 0, "")] * b.num_rows
+            rows: list[tuple] = [(None, 0.0, 0, "", "")] * b.num_rows
             for first, _, data, offsets in slices(b.column(1)):
-                found: dict[int, list[tuple[int, float]]] = {}
-                for text, t, d in scan_slice(data, offsets, templates, dice):
-                    found.setdefault(text, []).append((t, d))
+                found: dict[int, list[tuple[int, int, int, float]]] = {}
+                for text, a, e, t, d in scan_slice(data, offsets, templates, dice):
+                    found.setdefault(text, []).append((a, e, t, d))
                 for text, hits in found.items():
-                    t, d = min(hits, key=lambda x: (-x[1], x[0]))
-                    names = sorted({templates[k][0] for k, _ in hits})
-                    rows[first + text] = (templates[t][0], d, len(hits), ",".join(names))
-            kinds = [pa.string(), pa.float64(), pa.int64(), pa.string()]
-            cols = list(zip(*rows)) if rows else [()] * 4
+                    _, _, t, d = min(hits, key=lambda x: (-x[3], x[2], x[0]))
+                    names = sorted({templates[x[2]][0] for x in hits})
+                    spans = ",".join(f"{templates[t][0]}:{a}:{e}" for a, e, t, _ in hits)
+                    rows[first + text] = (templates[t][0], d, len(hits), ",".join(names), spans)
+            kinds = [pa.string(), pa.float64(), pa.int64(), pa.string(), pa.string()]
+            cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[f.name for f in out]
             )
