@@ -1,21 +1,36 @@
 """Secret scan: three fixed patterns, and password guess-cost dynamic programming on credential-context values.
 
-Base spans (leftmost, non-overlapping per kind, too short ones dropped after matching): ``assign``, ``access``,
-``hex``. The method adds ``guess`` spans: the value after a credential word and ``:`` or ``=``, outside every base
-span, when the cheapest segmentation into words, dates, repeats, keyboard walks and brute-force spans needs at least
-10**min_log10 guesses and the value mixes at least two classes of characters (one-class values are prose).
+Base spans (leftmost, non-overlapping per kind, too short ones dropped after matching): ``assign``, ``access``, ``hex``. The
+method adds ``guess`` spans: values of at least six characters after a credential word and ``:``, ``=``, ``:=`` or ``=>``. The
+word may be a part of a longer name (dbpwd, db_password, api-key_2), any blanks may stand around the sign.
 
-Defined results: a null text counts as empty and has no span; repeated rows get equal results; an empty table gives
-an empty table; extra columns are not read. Offsets are code points, ends exclusive.
+Guess cost of a value, as log10 of the guesses: the least sum over all segmentations into words of a ranked list (their rank;
+twice it where look-alike characters are read as letters; twice again with capitals), dates, walks over neighbouring keys or
+letters, repeats (the least cost of the unit, times the copies) and brute-force spans (ten guesses a character). A repeat is
+a maximal run of copies of a unit of at most MAX_UNIT characters, taken from its start on.
+
+A value is a guess span if it mixes classes of characters and costs at least 10**min_log10, of which 10**MIN_BRUTE by brute
+force, or 10**MIN_PHRASE in all; or if it is of one class (prose, unless it is of random letters) and costs at least
+10**MIN_PLAIN, of which 10**MIN_BRUTE by brute force. URLs without a user name are none, nor is a value that overlaps a base span.
+
+The word list: frequent passwords, then the words of a public tokenizer's vocabulary in its order, which follows frequency.
+
+Defined results: a null text counts as empty and has no span; repeated rows get equal results; an empty table gives an empty
+table; extra columns are not read. Offsets are code points, ends exclusive. Work and memory grow in proportion to the text,
+with some hundred bytes for each character of a context value.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,12 +45,14 @@ MIN_ASSIGN, MIN_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 
 CONTEXT = re.compile(
-    rb"""(?<![A-Za-z])(pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:[_-]?token)?|"""
-    rb"""(?:api|access|private|secret|client)[_-]?(?:key|secret|token))["']?[\x20\t]{0,3}[:=][\x20\t]{0,3}["']?"""
-    rb"""([^\s"'<>,;]{6,})""",
+    rb"""(pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|(?:api|access|private|client)[_-]?key)"""
+    rb"""(?:[_-][a-z0-9]+)*+[0-9]*+["']?[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+["']?([^\s"'<>,;]{6,})""",
     re.IGNORECASE,
 )
-MIN_LOG10 = 9.0
+URL = re.compile(r"[a-z][a-z0-9+.-]*://[^@]*", re.IGNORECASE)
+MIN_LOG10, MIN_BRUTE, MIN_PLAIN, MIN_PHRASE = 9.0, 6.0, 14.0, 20.0
+MAX_UNIT = 64
+WORDS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Frequent passwords and password parts, the most frequent first.
 COMMON = (
@@ -47,8 +64,6 @@ COMMON = (
     "true", "false", "redacted", "here", "love", "money", "soccer", "flower", "cookie", "orange", "banana", "cheese",
     "google", "internet", "company", "system", "server", "database", "oracle", "public", "private", "temp", "demo",
 )
-RANK = {w: i + 1 for i, w in enumerate(COMMON)}
-LONGEST = max(map(len, COMMON))
 # Look-alike characters read as letters.
 LEET = str.maketrans({"0": "o", "1": "l", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"})
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
@@ -61,54 +76,83 @@ DATE = re.compile(
 DATE_LENGTHS = (10, 8, 6, 4)
 
 
-def _spans_ending(value: str, low: str, plain: str) -> list[list[tuple[int, float]]]:
-    """For each end, the (start, log10 guesses) of every word, date, repeat and walk that ends there."""
-    n = len(value)
-    found: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-    for start in range(n):
-        for size in range(3, min(LONGEST, n - start) + 1):
-            rank = RANK.get(low[start : start + size]) or 2 * RANK.get(plain[start : start + size], 0)
-            if rank:
-                upper = 0.0 if value[start : start + size].islower() else math.log10(2)
-                found[start + size].append((start, math.log10(rank) + upper))
-        if value[start].isdigit():
-            for size in DATE_LENGTHS:
-                if DATE.fullmatch(value, start, start + size) and start + size <= n:
-                    found[start + size].append((start, math.log10(365 * 150 if size > 4 else 150)))
-    start = 0
-    while start < n - 2:  # walks over neighbouring keys and letters, either way
-        way, end = STEP.get((low[start], low[start + 1])), start + 1
-        while way and end + 1 < n and STEP.get((low[end], low[end + 1])) == way:
-            end += 1
-        if way and end - start >= 2:
-            for stop in range(start + 3, end + 2):
-                found[stop].append((start, math.log10(40 * (stop - start))))
-        start = max(end, start + 1)
-    for unit in range(1, 9):  # repeats of a unit
+def word_list(path: str = WORDS_PATH) -> list[str]:
+    """Frequent passwords, then the words of three letters or more of a vocabulary file (base64 token, rank on each line)."""
+    with open(path, "rb") as f:
+        tokens = [base64.b64decode(line.split()[0]).strip().lower() for line in f if line.strip()]
+    words = (t.decode() for t in tokens if len(t) >= 3 and t.isalpha() and t.isascii())
+    return list(dict.fromkeys([*COMMON, *words]))
+
+
+class Guesser:
+    """The least guess cost under a list of words, the most frequent first."""
+
+    def __init__(self, words: Sequence[str]):
+        self.rank = {w: i + 1 for i, w in enumerate(words)}
+        self.lengths = sorted({len(w) for w in self.rank})
+        self.cost = lru_cache(maxsize=1 << 14)(self._cost)
+
+    def _words(self, value: str, found: list[list[tuple[int, float]]]) -> None:
+        low = value.lower()
+        if len(low) != len(value):  # a few letters change length in lower case
+            low = value
+        plain, n = low.translate(LEET), len(value)
+        for start in range(n):
+            for size in self.lengths:
+                if start + size > n:
+                    break
+                rank = self.rank.get(low[start : start + size]) or 2 * self.rank.get(plain[start : start + size], 0)
+                if rank:
+                    upper = 0.0 if value[start : start + size].islower() else math.log10(2)
+                    found[start + size].append((start, math.log10(rank) + upper))
+            if value[start].isdigit():
+                for size in DATE_LENGTHS:
+                    if start + size <= n and DATE.fullmatch(value, start, start + size):
+                        found[start + size].append((start, math.log10(365 * 150 if size > 4 else 150)))
         start = 0
-        while start + 2 * unit <= n:
-            end = start + unit
-            while end < n and value[end] == value[end - unit]:
+        while start < n - 2:  # walks over neighbouring keys and letters, either way
+            way, end = STEP.get((low[start], low[start + 1])), start + 1
+            while way and end + 1 < n and STEP.get((low[end], low[end + 1])) == way:
                 end += 1
-            whole = (end - start) // unit
-            if whole >= (3 if unit == 1 else 2):
-                for k in range(2, whole + 1):
-                    found[start + k * unit].append((start, unit + math.log10(k)))
-                start += (whole - 1) * unit
-            start += 1
-    return found
-
-
-def guess_log10(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation; a brute-force span costs ten guesses a character."""
-    low = value.lower()
-    if len(low) != len(value):  # a few letters change length in lower case
-        low = value
-    spans = _spans_ending(value, low, low.translate(LEET))
-    cost = [0.0] * (len(value) + 1)
-    for end in range(1, len(value) + 1):
-        cost[end] = min([cost[end - 1] + 1.0, *(cost[start] + c for start, c in spans[end])])
-    return cost[-1]
+            if way and end - start >= 2:
+                for stop in range(start + 3, end + 2):
+                    found[stop].append((start, math.log10(40 * (stop - start))))
+            start = max(end, start + 1)
+
+    def _repeats(self, value: str, found: list[list[tuple[int, float]]]) -> None:
+        codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), np.uint32)
+        for unit in range(1, min(MAX_UNIT, len(value) // 2) + 1):
+            same = np.flatnonzero(np.diff(np.concatenate([[False], codes[unit:] == codes[:-unit], [False]]).astype(np.int8)))
+            for first, end in zip(same[::2].tolist(), same[1::2].tolist()):  # value[first : end + unit] has this period
+                copies = (end - first) // unit + 1
+                if copies >= (3 if unit == 1 else 2):
+                    once = self.cost(value[first : first + unit])[0]
+                    for k in range(2, copies + 1):
+                        found[first + k * unit].append((first, once + math.log10(k)))
+
+    def _cost(self, value: str) -> tuple[float, float]:
+        n = len(value)
+        found: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+        self._words(value, found)
+        self._repeats(value, found)
+        best = [(0.0, 0.0)] * (n + 1)
+        for end in range(1, n + 1):
+            cost, brute = best[end - 1]
+            cost, brute = cost + 1.0, brute + 1.0
+            for start, c in found[end]:
+                if best[start][0] + c < cost:
+                    cost, brute = best[start][0] + c, best[start][1]
+            best[end] = (cost, brute)
+        return best[n]
+
+    def judge(self, value: str, min_log10: float = MIN_LOG10) -> tuple[bool, float]:
+        """(whether a value is a secret, its cost)."""
+        cost, brute = self.cost(value)
+        if URL.fullmatch(value):
+            return False, cost
+        if _classes(value) < 2:
+            return cost >= max(MIN_PLAIN, min_log10) and brute >= MIN_BRUTE, cost
+        return cost >= max(MIN_PHRASE, min_log10) or cost >= min_log10 and brute >= MIN_BRUTE, cost
 
 
 def _classes(value: str) -> int:
@@ -118,7 +162,7 @@ def _classes(value: str) -> int:
 WORDS = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential")
 
 
-def find_secrets(text: bytes, min_log10: float = MIN_LOG10) -> tuple[list[tuple[int, int, int]], float]:
+def find_secrets(text: bytes, guesser: Guesser, min_log10: float = MIN_LOG10) -> tuple[list[tuple[int, int, int]], float]:
     """((start, kind index, end) in bytes, sorted), and the greatest log10 guesses of a context value (0 if none)."""
     spans: list[tuple[int, int, int]] = []
     low = text.lower()
@@ -130,13 +174,15 @@ def find_secrets(text: bytes, min_log10: float = MIN_LOG10) -> tuple[list[tuple[
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     most = 0.0
     if context:
-        base = list(spans)
+        spans.sort()
+        starts = [x[0] for x in spans]
+        reach = np.maximum.accumulate([x[2] for x in spans]).tolist() if spans else []  # furthest end so far
         for m in CONTEXT.finditer(text):
-            value = m[2].decode("utf-8", "replace")
-            cost = guess_log10(value)
+            found, cost = guesser.judge(m[2].decode("utf-8", "replace"), min_log10)
             most = max(most, cost)
             first, end = m.span(2)
-            if cost >= min_log10 and _classes(value) >= 2 and not any(s <= first < e for s, _, e in base):
+            before = bisect_left(starts, end)  # base spans that start before its end
+            if found and not (before and reach[before - 1] > first):
                 spans.append((first, 3, end))
     return sorted(spans), most
 
@@ -148,20 +194,22 @@ SCHEMA = (
 
 
 def scan_secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_log10: float = MIN_LOG10
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_log10: float = MIN_LOG10, words: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per row: counts by kind, digest of the base spans, all spans as ``kind:start:end``."""
+    """One row per row: counts by kind, digest of the base spans, all spans as ``kind:start:end``. words: ranked, by default
+    those of WORDS_PATH, which the driver reads."""
     src = docs.select(id_col, text_col)
     out = T.StructType([src.schema[id_col], *T._parse_datatype_string(SCHEMA).fields])
     kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
+    shared = docs.sparkSession.sparkContext.broadcast(list(words) if words is not None else word_list())  # some 0.5 MB
 
-    def one(text: bytes) -> tuple:
-        spans, most = find_secrets(text, min_log10)
+    def one(text: bytes, guesser: Guesser) -> tuple:
+        spans, most = find_secrets(text, guesser, min_log10)
         names, plain, at, chars = [], [], 0, 0
         points = {}
         for x in sorted({p for s in spans for p in (s[0], s[2])}):  # byte to code point offsets
             chars += len(text[at:x].decode("utf-8", "replace"))
-            at = points[x] = x
+            at = x
             points[x] = chars
         for start, kind, end in spans:
             name = f"{KINDS[kind]}:{points[start]}:{points[end]}"
@@ -172,9 +220,10 @@ def scan_secrets(
         return (*counts, hashlib.sha256(",".join(plain).encode()).hexdigest(), ",".join(names), most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesser = Guesser(shared.value)
         for b in batches:
             texts = b.column(1).fill_null("").cast(pa.binary())
-            rows = [one(t.as_py()) for t in texts]
+            rows = [one(t.as_py(), guesser) for t in texts]
             cols = list(zip(*rows)) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=[f.name for f in out]
