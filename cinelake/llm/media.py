@@ -11,7 +11,8 @@ bytes, has several of them. Their pairs are coded alike, plus ``FINE``. ``n_fram
 Peaks tell no levels: a payload of one byte throughout has the codes of an empty text, and a few tiny texts agree.
 
 Defined results: a null text counts as empty, whose payload is 192 spaces; equal texts give equal values; an empty
-table gives an empty table; extra columns are not read.
+table gives an empty table; extra columns are not read. Transforms work in chunks of samples; what a text needs besides
+grows with it, by some eight codes of eight bytes for each FINE_HOP of it.
 """
 
 from __future__ import annotations

@@ -10,11 +10,13 @@ pending fraction meets the next one; mass is moved between the two at random, so
 the pair stay as they are, until one of them is 0 or 1. What stays pending at the end of a group goes to the next
 level, which groups the groups: a reduction tree of depth log(documents). The last fraction of a source goes to the
 nearest whole number. So the words taken from a source differ from its target by at most half of one document, and
-that a small one unless a document outweighs the rest of its source.
+that a small one unless a document outweighs the rest of its source. Large documents come first since the last fraction
+left over must be a small document's; there are at most HEADS of them in a source, so one row holds them.
 
 Defined results: a null text has size 0 and takes nothing; null sources form a source; a source of size 0 has target
 0; rows repeated in full are mixed one by one; an empty table gives an empty table; columns named like those added
-are replaced. Reruns agree: draws are hashes of the row, the level and the seed.
+are replaced. Reruns agree: draws are hashes of the row, the level and the seed; of rows that agree in id, text and source,
+the first in the order of a hash of all their columns get the extra copies. Sources, not documents, meet in one window.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 WORD = r"[^\x20\x09-\x0D]+"
 FAN_IN = 64
 MAX_REPEAT = 3.0
-MAX_BROADCAST_SOURCES = 20_000  # rows of a few numbers and a name
+MAX_BROADCAST_BYTES = 8 << 20  # of the sources' facts
 SALTS = 64
 HEADS = 128
 
@@ -155,10 +157,9 @@ def mix_sources(
     targets = _by_source(source_targets(sizes, weights, max_repeat), sizes.select("source", "members"), 0)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = scratch.keep(targets.withColumn("rate", F.least(rate, F.lit(max_repeat))), "targets")
-    n_sources, most, repeats = (
-        targets.agg(F.count(F.lit(1)), F.max("members")).crossJoin(entries.agg(F.max("m"))).first()
-    )
-    full = _by_source(entries, targets, n_sources).withColumn("whole", F.floor("rate").cast("long"))
+    wide, most = targets.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 96), F.max("members")).first()
+    repeats = entries.agg(F.max("m")).first()[0]
+    full = _by_source(entries, targets, wide or 0).withColumn("whole", F.floor("rate").cast("long"))
     width = F.greatest(F.ceil(F.col("members") / F.lit(fan_in)), F.lit(1)).cast("long")
     each = full.where((F.col("n") > 0) & (F.col("rate") > F.col("whole"))).select(
         "source", "source_size", "members", (F.col("rate") - F.col("whole")).alias("p"), "doc", "h", "n",
@@ -170,7 +171,7 @@ def mix_sources(
     large = F.col("n") * F.lit(HEADS) > F.col("source_size")
     heads = scratch.keep(_heads(each.where(large), seed, id_type), "heads")
     after = heads.select("source", F.col("p").alias("after"))
-    tail = _by_source(each.where(~large), after, n_sources, outer=True).withColumn("p", F.coalesce("after", "p"))
+    tail = _by_source(each.where(~large), after, wide or 0, outer=True).withColumn("p", F.coalesce("after", "p"))
     items = tail.select("source", F.pmod("h", "w").alias("grp"), "id", "n", "p", "h")
     levels = 1 + max(0, math.ceil(math.log(max((most or 1) / fan_in, 1), fan_in)))
     ups = [heads.select("source", F.explode("out").alias("x")).select("source", "x.id", "x.up")]
@@ -196,7 +197,8 @@ def mix_sources(
     out = rows.join(plan, same)
     rank = F.lit(1)
     if (repeats or 1) > 1:  # the extra copies of an entry go to its first rows
-        rank = F.row_number().over(Window.partitionBy("__s", "__d", "__h").orderBy(F.lit(1)))
+        told = F.xxhash64(*(F.to_json(F.struct(c)) for c in docs.columns))
+        rank = F.row_number().over(Window.partitionBy("__s", "__d", "__h").orderBy(told))
     out = out.withColumn("__rank", rank)
     copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("__rank") <= F.col("__ups")).cast("long")).otherwise(F.lit(0))
     out = out.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("size") * F.col("copies"))
@@ -204,15 +206,16 @@ def mix_sources(
     return out.select(*keep, *(c for c in added))
 
 
-def _by_source(rows: DataFrame, facts: DataFrame, n_sources: int, outer: bool = False) -> DataFrame:
-    """rows joined with their source's facts: broadcast where few sources are known, else salted against hot sources."""
+def _by_source(rows: DataFrame, facts: DataFrame, size: int, outer: bool = False) -> DataFrame:
+    """rows joined with their source's facts: broadcast where their bytes are known and few, else salted against hot sources
+    (size 0: one row per source on either side)."""
     facts = facts.withColumnRenamed("source", "__s2")
     on = F.col("source").eqNullSafe(F.col("__s2"))
     drop = ["__s2", *[c for c in facts.columns if c in rows.columns]]
     facts = facts.drop(*[c for c in drop if c != "__s2"])
-    if 0 < n_sources <= MAX_BROADCAST_SOURCES:
+    if 0 < size <= MAX_BROADCAST_BYTES:
         facts = F.broadcast(facts)
-    elif n_sources:
+    elif size:
         salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__salt2")
         facts = facts.select("*", salt)
         rows = rows.withColumn("__salt", F.pmod(F.col("h"), F.lit(SALTS)))

@@ -76,7 +76,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_media_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cinelake.llm.media import media_columns
 
-    return media_columns(_read(spark, sf_dir, "documents")).drop("fingerprint")
+    return media_columns(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,7 +1,7 @@
 """URL filter: domain rules first, then a weighted URL vocabulary found with an Aho-Corasick automaton.
 
 Rules: the longest rule whose host is the url's host or a parent domain, and whose path starts the url's path,
-decides. Vocabulary: terms count only between boundaries (no ASCII letter and no character from U+0080 on at either
+decides; rules are looked up by the host and its parents, so their number does not matter. Vocabulary: terms count only between boundaries (no ASCII letter and no character from U+0080 on at either
 side); one strict term, or ``soft_limit`` distinct soft terms, block the url.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no rule; a null url holds no term
@@ -26,12 +26,19 @@ RULES = (
     ("block", "com", "/de/"),
 )
 # One of these is enough to reject.
-STRICT = ("adult", "casino", "escort", "hentai", "porn", "porno", "viagra", "warez", "xxx")
+STRICT = (
+    "adult", "bestiality", "blowjob", "camgirl", "camgirls", "casino", "casinos", "cialis", "cumshot", "cumshots", "escort", "escorts", "gangbang",
+    "hardcore", "hentai", "levitra", "milf", "milfs", "porn", "porno", "pornography", "pornos", "pornstar", "pornstars", "redtube", "sexcam",
+    "sexcams", "shemale", "shemales", "swingers", "viagra", "warez", "xhamster", "xnxx", "xvideos", "xxx", "youporn",
+)
 # Several distinct ones together reject.
 SOFT = (
-    "bet", "bets", "bonus", "cheap", "crack", "dating", "deal", "deals", "discount", "farm", "free", "gamble", "hot",
-    "jackpot", "keygen", "loan", "loans", "nude", "pharmacy", "pills", "poker", "promo", "replica", "sex", "slots",
-    "spam", "torrent", "win", "winner",
+    "amateur", "ass", "babe", "babes", "bet", "bets", "betting", "bingo", "bonus", "boobs", "cam", "cams", "cash", "cheap", "chat", "clickbait",
+    "coupon", "coupons", "crack", "cracked", "credit", "date", "dating", "deal", "deals", "diet", "discount", "discounts", "download", "drugs",
+    "erotic", "erotica", "farm", "fetish", "followers", "forex", "free", "gamble", "gambling", "girls", "hot", "jackpot", "keygen", "lingerie",
+    "loan", "loans", "lottery", "mature", "naked", "nude", "nudes", "payday", "pharma", "pharmacy", "pills", "piracy", "poker", "promo", "replica",
+    "replicas", "rolex", "roulette", "sale", "serial", "seo", "sex", "sexy", "singles", "slot", "slots", "spam", "spins", "steroids", "teen", "teens",
+    "torrent", "torrents", "traffic", "vegas", "video", "videos", "wager", "webcam", "win", "winner", "xx",
 )
 SOFT_LIMIT = 2
 
@@ -53,9 +60,27 @@ def split_url(url: str | None) -> tuple[str, str]:
     return ascii_lower(host), rest[:stop]
 
 
+@lru_cache(maxsize=8)
+def rules_by_host(rules: tuple[tuple[str, str, str], ...]) -> dict[str, list[tuple[str, str]]]:
+    """host -> (path, verdict) of its rules, the longest path first; of equal rules the first."""
+    out: dict[str, list[tuple[str, str]]] = {}
+    for verdict, host, path in rules:
+        out.setdefault(host, []).append((path, verdict))
+    return {host: sorted(own, key=lambda x: -len(x[0])) for host, own in out.items()}
+
+
 def rule_for(host: str, path: str, rules: Sequence[tuple[str, str, str]]) -> tuple[str, str] | None:
-    fits = [(h + p, verdict) for verdict, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    return max(fits, key=lambda x: len(x[0])) if fits else None
+    """(rule, verdict) of the longest rule, host and path together, that fits; of equally long ones the longer host's."""
+    by_host, best, domain = rules_by_host(tuple(rules)), None, host
+    while True:
+        for start, verdict in by_host.get(domain, ()):
+            if path.startswith(start):
+                if best is None or len(domain) + len(start) > len(best[0]):
+                    best = (domain + start, verdict)
+                break
+        _, dot, domain = domain.partition(".")
+        if not dot:
+            return best
 
 
 @lru_cache(maxsize=8)

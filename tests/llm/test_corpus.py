@@ -174,10 +174,31 @@ def test_mix_odd_rows_and_small_groups(spark):
 
 def test_mix_salted_join_agrees(spark, monkeypatch):
     plain = {(r["doc_id"], r["copies"]) for r in mixing.mix_sources(docs_of(spark)).collect()}
-    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", 0)
     assert plain == {(r["doc_id"], r["copies"]) for r in mixing.mix_sources(docs_of(spark)).collect()}
 
 
+def test_mix_expectations(spark):
+    """Over many like sources a document's mean copies come near its source's rate, whatever its size.
+
+    Only the last fraction of a source is rounded to the nearest, so sources have many documents."""
+    sizes = (1, 2, 3, 5, 8, 40) * 20
+    rows = [(s * 1000 + i, "w " * n, "en", f"{s:04}", 1, 1, "x", "y") for s in range(60) for i, n in enumerate(sizes)]
+    got = {}
+    for r in mixing.mix_sources(docs_of(spark, rows), fan_in=4).collect():
+        got.setdefault((int(r["source"]) % 3, r["size"]), []).append((r["copies"], r["target"] / r["source_size"]))
+    for seen in got.values():
+        rate = seen[0][1]
+        spread = (max(rate % 1 * (1 - rate % 1), 0.01) / len(seen)) ** 0.5
+        assert len(seen) == 400 and abs(np.mean([x for x, _ in seen]) - rate) < 4 * spread
+
+
+def test_mix_repeated_rows_with_other_columns(spark):
+    rows = [(1, "some words stand here", "en", "a", i, i, "x", "y") for i in range(5)] + [(2, "w " * 9, "en", "b", 1, 1, "x", "y")]
+    runs = [sorted((r["n_chars"], r["copies"]) for r in mixing.mix_sources(docs_of(spark, rows).repartition(n)).collect()) for n in (1, 3)]
+    assert runs[0] == runs[1]
+
+
 def test_mix_uses_no_python(spark, sf_dir):
     plan = mixing.mix_sources(real_docs(spark, sf_dir))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
