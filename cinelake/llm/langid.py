@@ -29,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.llm.scratch import Scratch
 from cinelake.llm.textcore import slices
 
 ORDER = 3
 SAMPLE = 300
 PAD = b" " * ORDER
 CHUNK = 1 << 20  # bytes scored at a time
+MAX_BROADCAST_BYTES = 8 << 20  # of the languages' names and counts
 _LETTER = re.compile(r"[^\W\d_]")
 LETTER = r"\p{L}"  # the same in Java's terms
 
@@ -130,14 +132,20 @@ Counts = dict[str, tuple[np.ndarray, np.ndarray]]
 
 
 def learned(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE) -> DataFrame | None:
-    """The hash sample of about ``sample`` labelled rows a language that ``fit`` counts; null when no row has a label."""
+    """The hash sample (id, text, language) of about ``sample`` labelled rows a language that ``fit`` counts, kept; null when no
+    row has a label."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = labelled.groupBy(F.col(lang_col).alias("__l")).agg(F.count(F.lit(1)).alias("__n"))
+    scratch = Scratch(docs.sparkSession, "language")
+    sizes = scratch.keep(labelled.groupBy(F.col(lang_col).alias("__l")).agg(F.count(F.lit(1)).alias("__n")), "sizes")
+    if (sizes.agg(F.sum(F.octet_length("__l") + 24)).first()[0] or 0) <= MAX_BROADCAST_BYTES:
+        sizes = F.broadcast(sizes)  # else labels are so many that none is hot
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chosen = labelled.join(sizes, F.col(lang_col) == F.col("__l")).where(draw < F.lit(float(sample)) / F.col("__n")).select(docs.columns)
-    if chosen.limit(1).count():
+    chosen = labelled.join(sizes, F.col(lang_col) == F.col("__l")).where(draw < F.lit(float(sample)) / F.col("__n"))
+    chosen = scratch.keep(chosen.select(*dict.fromkeys((id_col, text_col, lang_col))), "sample")
+    if not chosen.isEmpty():
         return chosen
-    return labelled.orderBy(id_col).limit(sample) if labelled.limit(1).count() else None
+    rest = labelled.select(chosen.columns).orderBy(id_col).limit(sample)
+    return None if labelled.isEmpty() else scratch.keep(rest, "sample")
 
 
 def counted(chosen: DataFrame | None, text_col: str, lang_col: str) -> Counts | None:
