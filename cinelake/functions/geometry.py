@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: pixels around an overlay.
+RENDER_PADDING = 8
 MAX_BYTES, MAX_PIXELS, MAX_RATIO = 50 * 1024 * 1024, 25_000_000, 20
 
 
@@ -70,6 +72,16 @@ def corners_to_box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.struct(x1.cast("int").alias("x"), y1.cast("int").alias("y"), (x2 - x1).cast("int").alias("w"), (y2 - y1).cast("int").alias("h"))
 
 
+def shrink_pixels(x: Column, y: Column, w: Column, h: Column, by: int) -> Column:
+    """struct<x,y,w,h> of a pixel box made smaller by so much on each side; it may end up empty."""
+    return F.struct((x + by).alias("x"), (y + by).alias("y"), (w - 2 * by).alias("w"), (h - 2 * by).alias("h"))
+
+
+def duration_seconds(frame_count: Column, fps: Column) -> Column:
+    """Frames over rate, 0 where either is unknown."""
+    return F.when((frame_count > 0) & (fps > 0), frame_count / fps).otherwise(F.lit(0.0))
+
+
 def shrink_norm(box: Column, sx: Column, sy: Column) -> Column:
     """A normalised box made smaller on all sides; a side never passes the opposite one."""
     return F.array(F.least(box[0] + sx, box[2]), F.least(box[1] + sy, box[3]), F.greatest(box[2] - sx, box[0]), F.greatest(box[3] - sy, box[1]))
@@ -118,3 +130,23 @@ def resize_plan(width: Column, height: Column, most: int = 448) -> Column:
 
 def shadow_padding(dx: Column, dy: Column, blur: Column, spread: Column) -> Column:
     return F.abs(dx) + F.abs(dy) + blur + spread
+
+
+def overlay_layout(
+    text: Column, row_widths: Column, font_px: Column, line_height: Column, highlight_px: Column, shadow: Column, stroke_px: Column,
+    margin: int = RENDER_PADDING,
+) -> Column:
+    """Sizes of a text overlay: row advance, picture size, origin of the text and the highlight box.
+
+    row_widths: measured widths of the rows; shadow: the padding of shadow_padding, null without one; stroke_px: null without one.
+    """
+    rows = F.greatest(F.size(F.split(F.coalesce(text, F.lit("")), "\n")), F.lit(1))
+    advance = F.floor(font_px * line_height).cast("int")
+    extra = F.greatest(F.coalesce(shadow, F.lit(0)), F.coalesce(stroke_px, F.lit(0))) + margin
+    inner_w, inner_h = F.coalesce(F.array_max(row_widths), F.lit(0)), advance * rows
+    origin = extra + highlight_px
+    box = F.array(extra, extra, origin + inner_w + highlight_px, origin + inner_h + highlight_px)
+    return F.struct(
+        advance.alias("row_advance"), (inner_w + 2 * highlight_px + 2 * extra).alias("width"), (inner_h + 2 * highlight_px + 2 * extra).alias("height"),
+        origin.alias("origin"), box.alias("highlight_box"),
+    )

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinelake.functions import text
+
 # Detection categories, and the detector's queries of each category.
 CATEGORIES = ("face", "license_plate", "logo", "card_object", "object")
 QUERIES = {
@@ -31,12 +33,17 @@ QUERIES = {
 }
 
 
-def validate(categories: Sequence[str], stride: int, threshold: float) -> None:
+def validate(
+    categories: Sequence[str], stride: int, threshold: float, min_face_confidence: float = 0.5, masks: bool = False, mask_dir: str | None = None
+) -> None:
+    """Raises ValueError for a configuration that cannot be run."""
     unknown = set(categories) - set(CATEGORIES)
     if unknown:
         raise ValueError(f"unknown categories: {sorted(unknown)}")
-    if stride < 1 or not 0 <= threshold <= 1:
-        raise ValueError("stride is 1 or more, threshold is in 0 to 1")
+    if stride < 1 or not 0 <= threshold <= 1 or not 0 <= min_face_confidence <= 1:
+        raise ValueError("stride is 1 or more, threshold and min_face_confidence are in 0 to 1")
+    if masks and not mask_dir:
+        raise ValueError("masks need mask_dir")
 
 
 def label_category(label: Column, queries: Mapping[str, Sequence[str]] = QUERIES) -> Column:
@@ -46,7 +53,7 @@ def label_category(label: Column, queries: Mapping[str, Sequence[str]] = QUERIES
         for q in labels:
             known.setdefault(q.lower(), category)
     table = F.create_map(*(F.lit(x) for pair in known.items() for x in pair)) if known else F.create_map().cast("map<string,string>")
-    return F.coalesce(table[F.lower(F.trim(label))], F.lit("object"))
+    return F.coalesce(table[F.lower(text.strip(label))], F.lit("object"))
 
 
 def query_list(categories: Sequence[str], custom: Sequence[str] = ()) -> list[tuple[str, str]]:
@@ -67,8 +74,38 @@ def carried_detections(frames: DataFrame, fresh: DataFrame, stride: int) -> Data
 
 
 def manifest_records(detections: DataFrame) -> DataFrame:
-    """Detections rounded as the manifest stores them."""
-    return detections.withColumn("confidence", F.bround("confidence", 4)).withColumn("bbox_norm", F.transform("bbox_norm", lambda v: F.bround(v, 5)))
+    """Detections rounded as the manifest stores them: confidence to 4 digits, box to 5, and t_ms where there is one to 1."""
+    out = detections.withColumn("confidence", F.bround("confidence", 4)).withColumn("bbox_norm", F.transform("bbox_norm", lambda v: F.bround(v, 5)))
+    return out.withColumn("t_ms", F.bround("t_ms", 1)) if "t_ms" in out.columns else out
+
+
+def run_figures(runs: DataFrame) -> DataFrame:
+    """runs(video_id, frame_count, fps, total_ms, infer_ms, infer_calls) rounded as the manifest's head stores them, with avg_fps
+    (frames a second of work, 0 without any)."""
+    avg = F.coalesce(F.try_divide(F.col("frame_count") * 1000.0, F.col("total_ms")), F.lit(0.0))
+    return runs.withColumn("fps", F.bround("fps", 3)).withColumn("avg_fps", F.bround(avg, 2)).withColumn("total_ms", F.bround("total_ms", 1)).withColumn("infer_ms", F.bround("infer_ms", 1))
+
+
+def inference_counters(frames: DataFrame, stride: int) -> DataFrame:
+    """frames(video_id, frame_idx, infer_ms, error) -> calls, failed calls and time of the detector, which runs on every
+    stride-th frame; a call that fails counts too."""
+    run = frames.where(F.col("frame_idx") % stride == 0)
+    return run.groupBy("video_id").agg(
+        F.count(F.lit(1)).alias("infer_calls"), F.count_if(F.col("error").isNotNull()).alias("failed_calls"), F.coalesce(F.sum("infer_ms"), F.lit(0.0)).alias("infer_ms")
+    )
+
+
+def manifest_documents(detections: DataFrame, runs: DataFrame) -> DataFrame:
+    """One JSON manifest per video: the run's figures, a count per category, and the detections by frame."""
+    rows = manifest_records(detections)
+    fields = [c for c in rows.columns if c != "video_id"]
+    per = rows.groupBy("video_id").agg(F.array_sort(F.collect_list(F.struct("frame_idx", *(c for c in fields if c != "frame_idx")))).alias("detections"))
+    out = run_figures(runs).join(summary_map(detections), "video_id", "left").join(per, "video_id", "left")
+    rest = [F.col(c) for c in run_figures(runs).columns if c != "video_id"]
+    found = F.coalesce("detections", F.array().cast(per.schema["detections"].dataType))
+    counts = F.coalesce("summary", F.create_map().cast("map<string,bigint>"))
+    document = F.struct(F.lit("1").alias("schema_version"), "video_id", *rest, counts.alias("summary"), found.alias("detections"))
+    return out.select("video_id", F.to_json(document).alias("document"))
 
 
 def summary(detections: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:

@@ -69,6 +69,17 @@ def identity_templates(rows: DataFrame, key: str, order: str, top: int = 5) -> t
     return stats, scored.withColumn("rank", rank).where(F.col("rank") <= max(1, top))
 
 
+def identity_documents(rows: DataFrame, top: int = 5) -> DataFrame:
+    """rows(identity_id, image_path, embedding) -> one JSON template per identity: centroid, exemplars, statistics, sources."""
+    stats, best = identity_templates(rows, "identity_id", "image_path", top)
+    chosen = best.groupBy("identity_id").agg(F.array_sort(F.collect_list(F.struct("rank", "image_path", "similarity", "embedding"))).alias("exemplars"))
+    sources = rows.groupBy("identity_id").agg(F.array_sort(F.collect_list("image_path")).alias("sources"))
+    intra = F.struct("count", F.col("mean").alias("mean_cosine"), F.col("std").alias("std_cosine"), F.col("min").alias("min_cosine"), F.col("max").alias("max_cosine"))
+    out = stats.join(chosen, "identity_id").join(sources, "identity_id")
+    document = F.struct("identity_id", F.size("centroid").alias("embedding_dim"), "centroid", "exemplars", intra.alias("intra_class"), "sources")
+    return out.select("identity_id", F.to_json(document).alias("document"))
+
+
 def sample_times(videos: DataFrame, fps: float, around: DataFrame | None = None, window_s: float = 0.5) -> DataFrame:
     """(video_id, ts): a grid of 1/fps below the duration, and points around boundaries(video_id, boundary_s)."""
     n = F.ceil(F.col("duration_s") * fps).cast("long")

@@ -1,6 +1,7 @@
-"""Pluggable model operators: a registry of factories, deterministic stand-ins, and the way to run them.
+"""Pluggable model operators: a registry of factories, and the way to run them.
 
-No model is bundled. A factory gives a function from a list of inputs to a list of results; it is called once in each
+Real engines are registered under their names with the modules that they need (see adapters); deterministic stand-ins only
+under the name ``stub``, which no automatic choice ever takes. No model is bundled. A factory gives a function from a list of inputs to a list of results; it is called once in each
 Python worker. A failing item gives the empty result and its error, so that one bad item costs no others.
 """
 
@@ -15,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinelake.operators import adapters
+
 Factory = Callable[..., Callable[[list], list]]
 KINDS = ("stt", "diarizer", "ocr", "caption", "face_detector", "face_embedder", "object_detector", "vlm", "image_embedder")
 _REGISTRY: dict[tuple[str, str], tuple[Factory, tuple[str, ...]]] = {}
@@ -58,6 +61,31 @@ def choose_stt(explicit: str | None = None, configured: str | None = None) -> st
     raise ImportError("no transcription backend is installed")
 
 
+def check_ocr_version(installed: str, least: str = "2.7.0", below: str = "4.0.0") -> None:
+    """Raises RuntimeError for a version of the OCR engine that the adapter does not know."""
+    import re
+
+    def parse(version: str) -> tuple[int, ...]:
+        return tuple(([int(x) for x in re.findall(r"\d+", version)] + [0, 0, 0])[:3])
+
+    if not parse(least) <= parse(installed) < parse(below):
+        raise RuntimeError(f"OCR engine {installed}: needs {least} or later, below {below}")
+
+
+def dependencies(modules: tuple[str, ...], programs: tuple[str, ...]) -> dict[str, bool]:
+    """Which modules and programs are there."""
+    import shutil
+
+    return {m: not missing((m,)) for m in modules} | {p: shutil.which(p) is not None for p in programs}
+
+
+def choose_face_detector(wanted: str = "scrfd") -> str:
+    """The wanted detector, or haar where scrfd is not installed."""
+    if wanted not in ("scrfd", "haar"):
+        raise ValueError(f"unknown face detector: {wanted}")
+    return wanted if wanted in available("face_detector") or wanted == "haar" else "haar"
+
+
 def choose_device(providers: list[str]) -> str:
     """The first of the preference that is offered, else the CPU."""
     return next((p for p in ("CoreML", "CUDA", "DML") if p in providers), "CPU")
@@ -112,6 +140,14 @@ def stub_caption(model: str = "stub") -> Callable[[list], list]:
 register("image_embedder", "stub", stub_embedder)
 register("face_embedder", "stub", stub_embedder)
 register("caption", "stub", stub_caption)
-register("stt", "faster-whisper", stub_caption, ("faster_whisper",))
-register("stt", "whisper", stub_caption, ("whisper", "torch"))
-register("stt", "api", stub_caption, ("openai",))
+register("stt", "faster-whisper", adapters.faster_whisper, ("faster_whisper",))
+register("stt", "whisper", adapters.whisper, ("whisper", "torch"))
+register("stt", "api", adapters.speech_api, ("openai",))
+register("diarizer", "pyannote", adapters.pyannote, ("pyannote",))
+register("ocr", "paddle", adapters.paddle, ("paddleocr",))
+register("face_detector", "haar", adapters.haar, ("cv2",))
+register("face_detector", "scrfd", adapters.insight_faces, ("cv2", "insightface"))
+register("face_embedder", "insightface", lambda **o: adapters.insight_faces(embeddings=True, **o), ("cv2", "insightface"))
+register("object_detector", "owlv2", adapters.owl, ("torch", "transformers", "PIL"))
+register("image_embedder", "siglip2", adapters.siglip, ("torch", "transformers", "PIL"))
+register("caption", "http", adapters.http_captions)

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.functions import text
+from cinelake.operators import signals
 
+FOLD = 256
 PRESETS = {"default": 30_000, "fine": 15_000, "coarse": 60_000, "visual_only": None}
 
 
@@ -21,11 +23,22 @@ def resolve_preset(name: str) -> int | None:
 
 def min_gap(cuts: Column, total: Column, min_ms: int) -> Column:
     """0, the cuts that keep the least distance from the last kept one, and the total in any case."""
-    kept = F.aggregate(
-        F.array_sort(F.array_distinct(F.filter(cuts, lambda c: (c > 0) & (c < total)))),
-        F.array(F.lit(0).cast("long")),
-        lambda acc, c: F.when(c - F.element_at(acc, -1) >= min_ms, F.concat(acc, F.array(c))).otherwise(acc),
+    # The kept cuts grow in chunks of FOLD that are closed when full, so that a cut copies a chunk and the list of chunks only.
+    sorted_cuts = F.array_sort(F.array_distinct(F.filter(cuts, lambda c: (c > 0) & (c < total))))
+    longs = "array<bigint>"
+    start = F.struct(
+        F.array().cast(f"array<{longs}>").alias("done"), F.array(F.lit(0).cast("long")).alias("open"), F.lit(0).cast("long").alias("last")
     )
+
+    def step(acc: Column, c: Column) -> Column:
+        full = F.size(acc["open"]) >= FOLD
+        taken = F.struct(
+            F.when(full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"),
+            F.when(full, F.array(c)).otherwise(F.concat(acc["open"], F.array(c))).alias("open"), c.alias("last"),
+        )
+        return F.when(c - acc["last"] >= min_ms, taken).otherwise(acc)
+
+    kept = F.aggregate(sorted_cuts, start, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["open"]))
     return F.concat(kept, F.array(total.cast("long")))
 
 
@@ -67,26 +80,40 @@ def assign_segments(segments: DataFrame, scenes: DataFrame) -> DataFrame:
     s = segments.withColumn("seg_start", (F.col("start") * 1000).cast("long")).withColumn("seg_end", (F.col("end") * 1000).cast("long"))
     sc = scenes.select(F.col("video_id").alias("sv"), "scene_id", F.col("index").alias("scene_index"), "start_ms", "end_ms")
     over = F.least("seg_end", "end_ms") - F.greatest("seg_start", "start_ms")
-    met = s.join(sc, (F.col("video_id") == F.col("sv")) & (F.col("seg_start") < F.col("end_ms")) & (F.col("start_ms") < F.col("seg_end")))
+    met = signals.overlap_join(s, sc, ("video_id", "sv"), ("seg_start", "seg_end"), ("start_ms", "end_ms"), 60_000)
     best = F.min(F.struct((-over).alias("neg"), "scene_index", "scene_id")).alias("best")
     return met.groupBy("video_id", "ord").agg(best, F.any_value("text").alias("text"), F.any_value("start").alias("start")).select(
         "video_id", "ord", "start", "text", F.col("best.scene_id").alias("scene_id")
     )
 
 
-def scene_documents(scenes: DataFrame, segments: DataFrame, dictionary: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Scenes with their transcript and tags; scenes without speech stay, with empty ones."""
-    a = assign_segments(segments, scenes)
-    words = F.filter(F.transform(F.array_sort(F.collect_list(F.struct("start", "ord", "text"))), lambda x: F.trim(F.coalesce(x["text"], F.lit("")))), lambda x: F.length(x) > 0)
-    per = a.groupBy("scene_id").agg(F.array_join(words, " ").alias("transcript_raw"), F.count(F.lit(1)).alias("speech_segment_count"))
-    out = scenes.join(per, "scene_id", "left").withColumn("transcript_raw", F.coalesce("transcript_raw", F.lit("")))
-    terms = [t for ts in dictionary.values() for t in ts]
-    raw = F.col("transcript_raw")
+def scene_documents(
+    scenes: DataFrame, segments: DataFrame, dictionary: Mapping[str, Sequence[str]], products: Mapping[str, Sequence[str]] | None = None
+) -> DataFrame:
+    """Scenes with their transcript and tags; scenes without speech stay, with empty ones.
+
+    Tags are looked for in each segment (a term across two segments is none) and united: keyword_tags are the categories of the
+    dictionary, product_tags and product_entities the categories and terms of the products (by default the same dictionary).
+    """
+    products = dictionary if products is None else products
+    said = F.coalesce("text", F.lit(""))
+    a = assign_segments(segments, scenes).select(
+        "scene_id", F.struct("start", "ord", F.trim(said).alias("text")).alias("said"), text.matched_categories(said, dictionary).alias("tags"),
+        text.matched_categories(said, products).alias("kinds"), text.matched_terms(said, [t for ts in products.values() for t in ts]).alias("terms"),
+    )
+    words = F.filter(F.transform(F.array_sort(F.collect_list("said")), lambda x: x["text"]), lambda x: F.length(x) > 0)
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    per = a.groupBy("scene_id").agg(
+        F.array_join(words, " ").alias("raw"), F.count(F.lit(1)).alias("n"), *(union(c).alias(c) for c in ("tags", "kinds", "terms"))
+    )
+    none = F.array().cast("array<string>")
+    out = scenes.join(per, "scene_id", "left")
+    raw = F.coalesce("raw", F.lit(""))
     return out.select(
-        "video_id", "scene_id", "index", "start_ms", "end_ms", "keyframe_timestamp_ms", "transcript_raw", F.lower(raw).alias("transcript_norm"),
-        F.length(raw).cast("long").alias("transcript_char_count"), F.coalesce("speech_segment_count", F.lit(0).cast("long")).alias("speech_segment_count"),
-        text.matched_categories(raw, dictionary).alias("keyword_tags"), text.matched_terms(raw, terms).alias("product_entities"),
-        F.array().cast("array<string>").alias("people_cluster_ids"),
+        "video_id", "scene_id", "index", "start_ms", "end_ms", "keyframe_timestamp_ms", raw.alias("transcript_raw"), F.lower(raw).alias("transcript_norm"),
+        F.length(raw).cast("long").alias("transcript_char_count"), F.coalesce("n", F.lit(0).cast("long")).alias("speech_segment_count"),
+        F.coalesce("tags", none).alias("keyword_tags"), F.coalesce("kinds", none).alias("product_tags"), F.coalesce("terms", none).alias("product_entities"),
+        none.alias("people_cluster_ids"),
     )
 
 

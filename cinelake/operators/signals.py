@@ -41,13 +41,29 @@ def cuts_from_log(lines: DataFrame) -> DataFrame:
     return cuts.select("video_id", millis(at.cast("double")).alias("cut_ms")).where("cut_ms > 0").distinct()
 
 
+def overlap_join(left: DataFrame, right: DataFrame, key: tuple[str, str], a: tuple[str, str], b: tuple[str, str], width: float) -> DataFrame:
+    """Pairs of left and right rows with equal keys whose intervals a = (start, end) and b overlap.
+
+    Both sides are dealt into time buckets of ``width``, so a long recording is many join keys and its rows meet only those
+    near them; a pair that shares several buckets counts in the first one.
+    """
+
+    def dealt(rows: DataFrame, at: tuple[str, str], name: str) -> DataFrame:
+        first, last = (F.floor(f(at[0], at[1]) / F.lit(width)).cast("long") for f in (F.least, F.greatest))
+        return rows.withColumn(name + "0", first).withColumn(name, F.explode(F.sequence(first, last)))
+
+    both = dealt(left, a, "__l").join(dealt(right, b, "__r"), (F.col(key[0]) == F.col(key[1])) & (F.col("__l") == F.col("__r")))
+    met = both.where((F.col(a[0]) < F.col(b[1])) & (F.col(b[0]) < F.col(a[1])) & (F.col("__l") == F.greatest("__l0", "__r0")))
+    return met.drop("__l", "__r", "__l0", "__r0")
+
+
 def attribute_speakers(segments: DataFrame, turns: DataFrame) -> DataFrame:
     """segments(video_id, ord, start, end), turns(video_id, ord, start, end, speaker_id) -> segments with the speaker of
     the greatest total overlap; ties go to the speaker of the first overlapping turn; none overlaps: null."""
     t = turns.select(F.col("video_id").alias("tv"), F.col("ord").alias("tord"), F.col("start").alias("ts"), F.col("end").alias("te"), F.col("speaker_id").alias("who"))
     s = segments.drop("speaker_id")
     over = F.least("end", "te") - F.greatest("start", "ts")
-    met = s.join(t, (F.col("video_id") == F.col("tv")) & (F.col("start") < F.col("te")) & (F.col("ts") < F.col("end")))
+    met = overlap_join(s, t, ("video_id", "tv"), ("start", "end"), ("ts", "te"), 600.0)
     each = met.groupBy("video_id", "ord", "who").agg(F.sum(over).alias("total"), F.min(F.struct("ts", "tord")).alias("first"))
     best = each.where("total > 0").groupBy("video_id", "ord").agg(F.min_by("who", F.struct(-F.col("total"), F.col("first"))).alias("speaker_id"))
     return s.join(best, ["video_id", "ord"], "left")

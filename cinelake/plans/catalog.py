@@ -131,33 +131,76 @@ def _terms_sql(dictionary, col):
     return f"concat_ws(',', {cats})", f"concat_ws(',', {terms})"
 
 
-_CATS, _TERMS = _terms_sql(tables.DICTIONARY, "transcript_raw")
+_CATS, _TERMS = _terms_sql(tables.DICTIONARY, "a.text")
+
+
+def _union_sql(found):
+    """Sorted distinct entries over the rows of a group, comma-joined; found: entries of one row, comma-joined."""
+    return f"array_to_string(list_sort(list_distinct(string_split(coalesce(string_agg(nullif({found}, ''), ','), ''), ','))), ',')"
 
 
 @query(f"""WITH {_TOTALS}, {_SCENES}, {_SCALED}, docs AS (
-  SELECT c.video_id, c.scene_id, start_ms, end_ms, keyframe_timestamp_ms, coalesce(string_agg(a.text, ' ' ORDER BY s_ms, ord), '') AS transcript_raw, count(a.ord) AS speech_segment_count
-  FROM sc c LEFT JOIN assigned a ON a.scene_id = c.scene_id GROUP BY ALL)
-SELECT video_id, scene_id, start_ms, end_ms, keyframe_timestamp_ms, transcript_raw, lower(transcript_raw) AS transcript_norm, length(transcript_raw)::BIGINT AS transcript_char_count,
-  speech_segment_count, {_CATS} AS keyword_tags, {_TERMS} AS product_entities FROM docs""")
+  SELECT c.video_id, c.scene_id, start_ms, end_ms, keyframe_timestamp_ms, coalesce(string_agg(a.text, ' ' ORDER BY s_ms, ord), '') AS transcript_raw, count(a.ord) AS speech_segment_count,
+    {_union_sql(_CATS)} AS keyword_tags, {_union_sql(_CATS)} AS product_tags, {_union_sql(_TERMS)} AS product_entities
+  FROM sc c LEFT JOIN assigned a ON a.scene_id = c.scene_id GROUP BY c.video_id, c.scene_id, start_ms, end_ms, keyframe_timestamp_ms)
+SELECT *, lower(transcript_raw) AS transcript_norm, length(transcript_raw)::BIGINT AS transcript_char_count FROM docs""")
 def scene_documents(spark, sf_dir):
     d = scenes.scene_documents(_scenes(spark, sf_dir), _scaled_speech(spark, sf_dir), tables.DICTIONARY)
-    d = d.withColumn("keyword_tags", F.array_join("keyword_tags", ",")).withColumn("product_entities", F.array_join("product_entities", ","))
+    for c in ("keyword_tags", "product_tags", "product_entities"):
+        d = d.withColumn(c, F.array_join(c, ","))
     return d.drop("people_cluster_ids", "index")
 
 
-@query()
+def _fold_sql(ranked, name):
+    """Cuts kept at a distance of 500 from the last kept one, as {name}(video_id, last)."""
+    return f"""{name} AS (
+  WITH RECURSIVE fold(video_id, k, last) AS (
+    SELECT video_id, 0::BIGINT, 0::BIGINT FROM totals
+    UNION ALL
+    SELECT f.video_id, r.k, CASE WHEN r.cut_ms - f.last >= 500 THEN r.cut_ms ELSE f.last END
+    FROM fold f JOIN {ranked} r ON r.video_id = f.video_id AND r.k = f.k + 1)
+  SELECT DISTINCT video_id, last AS b FROM fold)"""
+
+
+@query(f"""WITH {_TOTALS}, sp AS (SELECT video_id, ord, speaker_id, floor("start" / 3.6::DOUBLE) / 1000.0::DOUBLE AS st,
+    floor("start" / 3.6::DOUBLE) / 1000.0::DOUBLE + floor((ord % 90 + 1) * 20) / 1000.0::DOUBLE AS en FROM speech),
+g AS (SELECT video_id, trunc(en * 1000)::BIGINT AS e, lead(trunc(st * 1000)::BIGINT) OVER (PARTITION BY video_id ORDER BY st, ord) - trunc(en * 1000)::BIGINT AS gap FROM sp),
+k AS (SELECT video_id, speaker_id, lead(speaker_id) OVER w AS nxt, trunc(en * 1000)::BIGINT AS e, lead(trunc(st * 1000)::BIGINT) OVER w AS n
+  FROM sp WHERE speaker_id IS NOT NULL WINDOW w AS (PARTITION BY video_id ORDER BY st, ord)),
+found AS (SELECT video_id, (e + floor(gap / 2.0))::BIGINT AS ts, least(1.0, gap / 2000.0)::DOUBLE AS strength FROM g WHERE gap >= 300
+  UNION ALL SELECT video_id, CASE WHEN n >= e THEN (e + floor((n - e) / 2.0))::BIGINT ELSE n END, CASE WHEN n >= e THEN 1.0 ELSE 0.7 END::DOUBLE FROM k WHERE nxt <> speaker_id),
+best AS (SELECT p.video_id, f.ts, row_number() OVER (PARTITION BY p.video_id, p.b ORDER BY strength DESC, abs(ts - b - 30000), ts) AS rn
+  FROM bounds p JOIN found f ON f.video_id = p.video_id AND ts > b AND ts < e WHERE e - b > 30000),
+every AS (SELECT video_id, cut_ms FROM cuts UNION SELECT video_id, ts FROM best WHERE rn = 1),
+ranked2 AS (SELECT video_id, cut_ms, row_number() OVER (PARTITION BY video_id ORDER BY cut_ms) AS k FROM every),
+{_fold_sql("ranked2", "kept2")},
+bounds2 AS (SELECT x.video_id, b, coalesce(lead(b) OVER (PARTITION BY x.video_id ORDER BY b), total_ms) AS e FROM kept2 x JOIN totals t ON t.video_id = x.video_id)
+SELECT video_id, unnest(range(b, e, 45000)) AS boundary_ms FROM bounds2 UNION ALL SELECT video_id, total_ms FROM totals""")
 def combined_boundaries(spark, sf_dir):
+    return _combined(spark, sf_dir, "default")
+
+
+def _combined(spark, sf_dir, preset):
     t = _totals(spark, sf_dir)
     cuts = t.select("video_id", F.explode("cuts").alias("cut_ms"))
+    target = scenes.resolve_preset(preset)
     found = signals.speech_pauses(_scaled_speech(spark, sf_dir)).unionByName(signals.speaker_turns(_scaled_speech(spark, sf_dir)))
-    out = signals.combine_signals(cuts, found, t.select("video_id", "total_ms"), scenes.resolve_preset("default"))
+    if target is None:
+        found = found.limit(0)
+    out = signals.combine_signals(cuts, found, t.select("video_id", "total_ms"), target or 0)
     return out.select("video_id", F.explode("boundaries").alias("boundary_ms"))
 
 
+@query(f"""WITH {_TOTALS} SELECT video_id, unnest(range(b, e, 45000)) AS boundary_ms FROM bounds UNION ALL SELECT video_id, total_ms FROM totals""")
+def scene_max_split(spark, sf_dir):
+    """The splitter of long spans alone: visual cuts, none of the speech signals."""
+    return _combined(spark, sf_dir, "visual_only")
+
+
 # --- speakers, transcripts --------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {SPEECH_SQL}, t AS (SELECT video_id, ord AS tord, "start" AS ts, "end" + 120 AS te, speaker_id AS who FROM speech WHERE speaker_id IS NOT NULL AND ord % 3 = 0),
+@query(f"""WITH {SPEECH_SQL}, t AS (SELECT video_id, ord AS tord, "start" AS ts, "end" + 120 AS te, speaker_id AS who FROM speech WHERE speaker_id IS NOT NULL),
 each AS (SELECT s.video_id, s.ord, who, sum(least("end", te) - greatest("start", ts)) AS total, min(ts) AS first, min(tord) AS tord
   FROM speech s JOIN t ON t.video_id = s.video_id AND "start" < te AND ts < "end" GROUP BY 1, 2, 3),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id, ord ORDER BY total DESC, first, tord) AS rn FROM each WHERE total > 0) WHERE rn = 1)
@@ -174,10 +217,18 @@ def transcript_summary(spark, sf_dir):
     return out.withColumn("total_duration_s", r6("total_duration_s")).withColumn("spoken_s", F.bround("spoken_s", 3))
 
 
-@query()
+_RCATS = {c: " OR ".join(f"contains(lower(text), '{t}')" for t in ts) for c, ts in sorted(tables.DICTIONARY.items())}
+_RHITS = " + ".join(f"CASE WHEN {hit} THEN 1 ELSE 0 END" for hit in _RCATS.values())
+_RWEIGHT = " + ".join(f"CASE WHEN {hit} THEN {2.0 if c == 'trouble' else 1.0} ELSE 0 END" for c, hit in _RCATS.items())
+
+
+@query(f"""WITH {SPEECH_SQL} SELECT video_id, ord, {_terms_sql(tables.DICTIONARY, "text")[0]} AS tags,
+  round_even(({_RWEIGHT})::DOUBLE + ({_RHITS})::DOUBLE / greatest("end" - "start", 0.001::DOUBLE), 6)::DOUBLE AS score, 'success' AS status FROM speech""")
 def ranked_segments(spark, sf_dir):
-    out = records.rank_segments(tables.speech(spark, sf_dir), tables.DICTIONARY, {"trouble": 2.0})
-    return out.select("video_id", "ord", F.array_join("tags", ",").alias("tags"), r6("score").alias("score"))
+    s = tables.speech(spark, sf_dir)
+    out = records.rank_segments(s, tables.DICTIONARY, {"trouble": 2.0})
+    runs = records.run_results(s).select("video_id", "status")
+    return out.join(runs, "video_id").select("video_id", "ord", F.array_join("tags", ",").alias("tags"), r6("score").alias("score"), "status")
 
 
 # --- text -------------------------------------------------------------------------------------------------------------
@@ -204,7 +255,24 @@ def pii_counts(spark, sf_dir):
     return d.select("doc_id", n("credit_card").alias("n_cards"), n("email").alias("n_mails"))
 
 
-@query()
+def _redact_sql(t):
+    """Redaction without look-around, which that dialect lacks: a neighbour that must be none of its kind is matched and put
+    back, twice over since two findings may share one."""
+
+    def edged(t, pattern, name, inside):
+        for _ in range(2):
+            t = f"regexp_replace({t}, '(^|[^{inside}]){pattern}($|[^{inside}])', '\\1[{name}]\\2', 'g')"
+        return t
+
+    word = r"\p{L}\p{N}_"
+    t = edged(t, r"\d{6}[-–]\d{7}", "KR_RRN", word)
+    t = edged(t, _CARD, "CREDIT_CARD", word)
+    t = edged(t, r"(?:\+82[\s)\-–.]*0?|0)(?:2|1[016789]|[3-6]\d)[-–.\s]?\d{3,4}[-–.\s]?\d{4}", "KR_PHONE", r"\d")
+    t = f"regexp_replace({t}, '{_MAIL}', '[EMAIL]', 'g')"
+    return f"regexp_replace({t}, '(?:[가-힣]{{2}}\\s*)?\\d{{2,3}}\\s*[가-힣]\\s*\\d{{4}}', '[KR_LICENSE_PLATE]', 'g')"
+
+
+@query(f"WITH r AS (SELECT doc_id, {_redact_sql('text')} AS t FROM documents) SELECT doc_id, sha256(t) AS sha, length(t)::INT AS n_chars FROM r")
 def pii_redact(spark, sf_dir):
     t = text.redact_pii(F.col("text"))
     return read(spark, sf_dir, "documents").select("doc_id", F.sha2(t, 256).alias("sha"), F.length(t).alias("n_chars"))
@@ -369,12 +437,34 @@ def _clusters(spark, sf_dir):
     return products.cluster_detections(rows, 0.3)
 
 
-@query()
+_CLUSTERS = """d AS (SELECT label::BIGINT AS video_id, vec_id AS ord, floor(vec_id / 20)::BIGINT::VARCHAR AS frame, embedding::DOUBLE[] AS v,
+    row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+fold AS (
+  WITH RECURSIVE f(video_id, k, cs, cluster_id) AS (
+    SELECT video_id, 0::BIGINT, []::STRUCT(s DOUBLE[], fr VARCHAR[])[], -1::BIGINT FROM (SELECT DISTINCT video_id FROM d)
+    UNION ALL
+    SELECT video_id, k, CASE WHEN cid = len(cs) THEN list_append(cs, {'s': v, 'fr': [frame]})
+        ELSE list_transform(cs, lambda c, i: CASE WHEN i - 1 = cid THEN {'s': list_transform(c.s, lambda x, n: x + v[n]), 'fr': list_append(c.fr, frame)} ELSE c END) END, cid
+    FROM (SELECT *, coalesce(list_max(list_filter(range(0, len(sims)), lambda n: sims[n + 1] = list_max(sims) AND sims[n + 1] >= 0.3)), len(cs)) AS cid FROM (
+      SELECT f.video_id, d.k, f.cs, d.v, d.frame, list_transform(f.cs, lambda c: CASE WHEN list_contains(c.fr, d.frame) THEN -2.0::DOUBLE
+        ELSE round(coalesce(list_cosine_similarity(c.s, d.v), 0), 12) END) AS sims
+      FROM f JOIN d ON d.video_id = f.video_id AND d.k = f.k + 1)))
+  SELECT video_id, k, cluster_id FROM f WHERE k > 0),
+cl AS (SELECT d.video_id, d.ord, cluster_id, count(*) OVER (PARTITION BY d.video_id, cluster_id) AS cluster_size FROM d JOIN fold ON fold.video_id = d.video_id AND fold.k = d.k)"""
+
+
+@query(f"WITH {_CLUSTERS} SELECT * FROM cl")
 def product_clusters(spark, sf_dir):
     return _clusters(spark, sf_dir)
 
 
-@query()
+@query(f"""WITH {_CLUSTERS}, g AS (SELECT *, ord % 37 * 10 AS x, ord % 23 * 10 AS y, ord % 29 * 8 + 8 AS w, ord % 31 * 6 + 6 AS h, (ord % 10 + 1) / 10.0::DOUBLE AS conf, (ord % 7) / 7.0::DOUBLE AS sharp FROM cl),
+p AS (SELECT *, least(1.0, greatest(0.0, w * h / (640.0::DOUBLE * 360)))::DOUBLE AS prominence,
+  greatest(0.0, 1 - sqrt(pow(x + w / 2.0::DOUBLE - 320, 2) + pow(y + h / 2.0::DOUBLE - 180, 2)) / sqrt(320.0::DOUBLE * 320 + 180 * 180))::DOUBLE AS centre FROM g),
+q AS (SELECT *, 0.35::DOUBLE * prominence + 0.25::DOUBLE * sharp + 0.10::DOUBLE * centre + 0.15::DOUBLE * least(1.0, cluster_size / 5.0::DOUBLE) AS composite FROM p),
+b AS (SELECT *, row_number() OVER (PARTITION BY video_id, cluster_id ORDER BY round(composite, 12) DESC, ord) AS rn FROM q)
+SELECT video_id, cluster_id, ord, cluster_size, round_even(composite, 6)::DOUBLE AS composite, round_even(prominence, 6)::DOUBLE AS prominence,
+  CASE WHEN cluster_size < 2 THEN 'single_keyframe' WHEN conf < 0.6 THEN 'low_confidence' WHEN prominence < 0.03 THEN 'low_prominence' END AS rejected_reason FROM b WHERE rn = 1""")
 def product_catalog(spark, sf_dir):
     c = _clusters(spark, sf_dir)
     i = lambda f: f.cast("int")
@@ -455,10 +545,33 @@ def _blocks(spark, sf_dir):
     return c.select(F.col("conv_id").alias("scene_id"), F.col("turn").alias("ord"), "text", ((F.col("turn") * 37 + F.col("conv_id")) % 100 / 100.0).alias("confidence"))
 
 
-@query()
+def _ocr_sql():
+    """Scene text by SQL."""
+    t = "coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE conf >= 0.5), '')"
+    t = f"regexp_replace(regexp_replace({t}, '[{_BIDI}]', '', 'g'), '<[^>]+>', '', 'g')"
+    for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("''", "&#x27;")):
+        t = f"replace({t}, '{plain}', '{escaped}')"
+    return _redact_sql(f"trim({t}, E' \\t\\n\\r')")
+
+
+_OCR = f"""WITH b AS (SELECT conv_id, turn, text, (turn * 37 + conv_id) % 100 / 100.0::DOUBLE AS conf FROM conversations),
+s AS (SELECT conv_id AS scene_id, {_ocr_sql()} AS t, count(*) FILTER (WHERE conf >= 0.5) AS n_blocks, coalesce(avg(conf) FILTER (WHERE conf >= 0.5), 0) AS c FROM b GROUP BY 1),
+k AS (SELECT *, CASE WHEN length(regexp_replace(t, '[^\\p{{L}}\\p{{N}}]', '', 'g')) >= 2 THEN t ELSE '' END AS kept FROM s)
+"""
+
+
+@query(_OCR + "SELECT scene_id, sha256(kept) AS sha, length(kept)::BIGINT AS ocr_char_count FROM k")
 def ocr_scene_text(spark, sf_dir):
     out = records.ocr_scene_text(_blocks(spark, sf_dir))
-    return out.select("scene_id", F.sha2("ocr_text_raw", 256).alias("sha"), "ocr_char_count")
+    return out.select("scene_id", F.sha2("ocr_text_raw", 256).alias("sha"), F.col("ocr_char_count").cast("long"))
+
+
+@query(_OCR + """SELECT scene_id % 50 AS video_id, count(*) AS scenes, count(*) FILTER (WHERE kept <> '') AS frames_processed, count(*) FILTER (WHERE kept = '') AS frames_skipped,
+  round_even(coalesce(sum(c * n_blocks) / nullif(sum(n_blocks), 0), 0), 6)::DOUBLE AS avg_confidence, 'success' AS status FROM k GROUP BY 1""")
+def ocr_run_counters(spark, sf_dir):
+    """The OCR flow of a recording: frames read and skipped, the mean confidence of all kept blocks, the status."""
+    out = records.ocr_counters(records.ocr_scene_text(_blocks(spark, sf_dir)).withColumn("video_id", F.col("scene_id") % 50))
+    return out.withColumn("avg_confidence", r6("avg_confidence"))
 
 
 @query("""SELECT o_custkey % 100 AS spec_id, o_orderkey AS clip, o_orderkey % 5000 AS start_ms, o_orderkey % 5000 + o_custkey % 700 + 1 AS end_ms,
@@ -480,12 +593,30 @@ def _progress(spark, sf_dir):
     return e.select(F.col("user_id").cast("string").alias("job"), t.alias("t"), phase.alias("phase"), (F.col("event_id") / 250.0).alias("progress_pct"), F.col("event_type").alias("message"))
 
 
-@query()
+_JOBS = """p AS (SELECT user_id::VARCHAR AS job, date_diff('millisecond', TIMESTAMP '2024-01-01 00:00:00', date_trunc('millisecond', ts)) / 1e7::DOUBLE AS t,
+    CASE WHEN event_id % 200 < 180 THEN 'detecting' ELSE 'finalizing' END AS phase, event_id / 250.0::DOUBLE AS pct, event_type AS message FROM events)"""
+
+
+@query(f"""WITH RECURSIVE {_JOBS}, r AS (SELECT *, row_number() OVER (PARTITION BY job ORDER BY t, pct) AS k FROM p),
+fold(job, k, lt, lp, lf, passed) AS (
+  SELECT job, 0::BIGINT, 0::DOUBLE, -1::DOUBLE, '', false FROM (SELECT DISTINCT job FROM p)
+  UNION ALL
+  SELECT f.job, r.k, CASE WHEN go THEN r.t ELSE lt END, CASE WHEN go THEN r.pct ELSE lp END, CASE WHEN go THEN r.phase ELSE lf END, go
+  FROM (SELECT f.*, r.k AS rk, r.phase <> lf OR (r.pct - lp >= 1.0 AND r.t - lt >= 0.5) AS go FROM fold f JOIN r ON r.job = f.job AND r.k = f.k + 1) f
+  JOIN r ON r.job = f.job AND r.k = f.rk)
+SELECT r.job, r.t, r.phase, round_even(r.pct, 2)::DOUBLE AS progress_pct, r.message FROM r JOIN fold f ON f.job = r.job AND f.k = r.k WHERE f.passed""")
 def progress_throttle(spark, sf_dir):
     return progress.throttle_table(_progress(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_JOBS}, r AS (SELECT job, t * 60 AS t, message <> 'error' AS ok, row_number() OVER (PARTITION BY job ORDER BY t, pct) AS k FROM p),
+fold(job, k, until, failed, made) AS (
+  SELECT job, 0::BIGINT, '-infinity'::DOUBLE, 0::BIGINT, false FROM (SELECT DISTINCT job FROM p)
+  UNION ALL
+  SELECT f.job, r.k, CASE WHEN r.t < until THEN until WHEN r.ok THEN '-infinity'::DOUBLE WHEN failed + 1 >= 5 THEN r.t + 60 ELSE until END,
+    CASE WHEN r.t < until THEN failed WHEN r.ok THEN 0 ELSE failed + 1 END, r.t >= until
+  FROM fold f JOIN r ON r.job = f.job AND r.k = f.k + 1)
+SELECT r.job, r.t, r.ok, f.made FROM r JOIN fold f ON f.job = r.job AND f.k = r.k""")
 def breaker_replay(spark, sf_dir):
     p = _progress(spark, sf_dir).select("job", (F.col("t") * 60).alias("t"), (F.col("message") != "error").alias("ok"))
     return progress.replay_breaker(p)
@@ -496,5 +627,5 @@ s AS (SELECT a.vec_id, sum(a.x * q.x) / (sqrt(sum(a.x * a.x)) * sqrt(sum(q.x * q
 SELECT vec_id, round_even(c, 6)::DOUBLE AS cosine FROM s""")
 def vector_cosine(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    q = e.where("vec_id = 0").select(F.col("v").alias("q"))  # one row
+    q = e.where("vec_id = 0").limit(1).select(F.col("v").alias("q"))  # one row
     return e.crossJoin(F.broadcast(q)).select("vec_id", r6(vectors.cosine(F.col("v"), F.col("q"))).alias("cosine"))

@@ -94,3 +94,71 @@ def write_documents(rows: DataFrame, path: str, key: str, document: str = "docum
 def flag(spark: SparkSession, name: str, default: bool = False) -> bool:
     """A switch in the session's settings: "true" or "1"."""
     return spark.conf.get(f"spark.cinelake.{name}", str(default)).strip().lower() in ("true", "1")
+
+
+def reference_pictures(spark: SparkSession, explicit: list[str], folder: str | None = None) -> DataFrame:
+    """(path, ord): the given paths, then the folder's pictures by name; a path that comes twice counts once."""
+    given = spark.createDataFrame([(p, i) for i, p in enumerate(explicit) if p], "path string, ord bigint")
+    if folder is not None:
+        from pyspark.sql import Window
+
+        listed = list_pictures(spark, folder).select("path")
+        listed = listed.select("path", (F.row_number().over(Window.orderBy("path")) + len(explicit)).cast("long").alias("ord"))
+        given = given.unionByName(listed)
+    return given.groupBy("path").agg(F.min("ord").alias("ord"))
+
+
+def with_boxes(pictures: DataFrame, found: DataFrame) -> DataFrame:
+    """Every picture with its boxes; one that could not be read, or holds none, stays with an empty list."""
+    none = F.array().cast(found.schema["bboxes"].dataType)
+    return pictures.join(found.select("path", "bboxes"), "path", "left").withColumn("bboxes", F.coalesce("bboxes", none))
+
+
+# Extensions of media files, in the order in which they are looked for.
+MEDIA_EXTENSIONS = (".mp4", ".mov", ".mkv", ".webm", ".avi")
+
+
+def list_media(spark: SparkSession, folder: str) -> DataFrame:
+    """(video_id, path, ext_ord) of the media files of a folder that are not empty, for transcode.media_paths."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{mp4,mov,mkv,webm,avi}").load(folder).select("path")
+    place = F.array_position(F.array(*map(F.lit, MEDIA_EXTENSIONS)), F.regexp_extract(name, r"(\.[^.]+)$", 1))
+    return files.select(F.regexp_replace(name, r"\.[^.]+$", "").alias("video_id"), "path", place.alias("ext_ord"))
+
+
+def valid_keyframes(scenes: DataFrame, pictures: DataFrame) -> DataFrame:
+    """scenes(scene_id, ...) with ``keyframe_valid``: there is a picture of a safe name and a sane size. pictures(path, size,
+    width, height). Scenes without one stay."""
+    from cinelake.functions import geometry
+
+    name = F.regexp_extract("path", r"([^/]+)\.jpg$", 1)
+    ok = pictures.where(geometry.valid_picture(F.col("size"), F.col("width"), F.col("height"))).select(name.alias("scene_id")).distinct()
+    return scenes.join(ok.withColumn("__ok", F.lit(True)), "scene_id", "left").withColumn("keyframe_valid", F.coalesce("__ok", F.lit(False))).drop("__ok")
+
+
+def write_files(rows: DataFrame, path: str, key: str, document: str = "document", ending: str = ".json") -> None:
+    """One file per row, ``path/key.json``, of its JSON document. Written aside first; each file then appears by a rename."""
+    spark = rows.sparkSession
+    aside = path.rstrip("/") + ".tmp"
+    rows.select(F.col(key).cast("string").alias("__key"), F.col(document).alias("value")).write.mode("overwrite").partitionBy("__key").text(aside)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(aside)
+    fs = at.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(path))
+    for folder in fs.listStatus(at):  # renames only: no document passes through the driver
+        if folder.isDirectory():
+            name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.getPath().getName()).split("=", 1)[1]
+            target = jvm.org.apache.hadoop.fs.Path(path, name + ending)
+            for part in fs.listStatus(folder.getPath()):
+                fs.delete(target, False)
+                fs.rename(part.getPath(), target)
+    fs.delete(at, True)
+
+
+def write_document(rows: DataFrame, path: str, document: str = "document") -> None:
+    """The one document of rows as one file, replaced at once."""
+    import os
+
+    folder, name = os.path.split(path)
+    stem, ending = os.path.splitext(name)
+    write_files(rows.select(F.lit(stem).alias("__name"), document), folder or ".", "__name", document, ending)

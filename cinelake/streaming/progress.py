@@ -30,12 +30,16 @@ def _frame(job: str, rows: list[tuple]) -> pd.DataFrame:
 
 
 def _rows(pdf: pd.DataFrame) -> list[tuple]:
-    pdf = pdf.sort_values("t", kind="stable")
+    pdf = pdf.sort_values(["t", "progress_pct"], kind="stable")
     return list(zip(pdf["t"], pdf["phase"], pdf["progress_pct"], pdf["message"]))
 
 
 def throttle_stream(events: DataFrame) -> DataFrame:
-    """A stream of events(job, t, phase, progress_pct, message), throttled per job across micro-batches."""
+    """A stream of events(job, t, phase, progress_pct, message), throttled per job across micro-batches.
+
+    Within a micro-batch events are folded by time; one that comes a batch late is folded when it comes, as a live progress
+    bar would have it. Hold events back before this step where their order across batches matters.
+    """
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -74,11 +78,11 @@ def replay_breaker(calls: DataFrame) -> DataFrame:
     return calls.select("job", "t", "ok").groupBy("job").applyInPandas(one, "job string, t double, ok boolean, made boolean")
 
 
-def retry_plan(statuses: list[int | None], most: int = 3, base_s: float = 1.0) -> list[float]:
-    """Waits before each further attempt: server errors and timeouts (null) are retried, client errors are not."""
-    waits = []
-    for n, status in enumerate(statuses[: most - 1]):
-        if status is not None and status < 500:
+def retry_plan(statuses: list[int | None], retries: int = 3, base_s: float = 2.0) -> list[float]:
+    """Waits before each further attempt: server errors and timeouts (null) are retried, anything else ends the calls."""
+    waits: list[float] = []
+    for n, status in enumerate(statuses[:retries]):
+        if status is not None and not 500 <= status < 600:
             break
         waits.append(base_s * 2**n)
     return waits

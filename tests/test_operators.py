@@ -102,6 +102,8 @@ def test_scene_documents(spark):
     assert got["1_scene_000"]["transcript_raw"] == "Say t0 Say t1" and got["1_scene_000"]["transcript_norm"] == "say t0 say t1"
     assert got["1_scene_001"]["speech_segment_count"] == 1 and got["2_scene_000"]["transcript_raw"] == ""
     assert got["1_scene_002"]["keyword_tags"] == ["talk"] and got["2_scene_000"]["keyword_tags"] == []
+    split = scenes.scene_documents(sc, s, {"a": ["t0 say"], "b": ["say t1"]}, {"p": ["T0", "zz"], "q": ["say"]}).where("scene_id = '1_scene_000'").first()
+    assert split["keyword_tags"] == ["b"] and split["product_tags"] == ["p", "q"] and split["product_entities"] == ["T0", "say"]  # none across segments
     ocr = spark.createDataFrame([("1_scene_000", "sign")], "scene_id string, ocr_text_raw string")
     merged = {r["scene_id"]: r["ocr_char_count"] for r in scenes.merge_ocr(sc, ocr).collect()}
     assert merged["1_scene_000"] == 4 and merged["2_scene_000"] == 0
@@ -152,7 +154,13 @@ def test_small_text_functions(spark):
     assert one(spark, text.fuzzy_contains(F.col("t"), F.lit("hello")), t="zzzz") is False
     assert one(spark, blur.label_category(F.col("t")), t="  Passport ") == "card_object" and one(spark, blur.label_category(F.col("t")), t="x") == "object"
     prompt = one(spark, text.tag_prompt(F.col("t"), F.lit("k"), ["E1", "E2"], ["b", "a"], ["c"]), t="  자막 ")
-    assert "[자막]\n자막\n" in prompt and "콘텐츠태그: a, b" in prompt
+    assert "What is said:\n자막\n" in prompt and "content: a, b" in prompt and ("E1" in prompt) != ("E2" in prompt)
+    assert one(spark, text.tag_prompt(F.col("t"), F.lit("k"), ["E"], [], [], layout="<{transcript}|{example}>"), t=" ") == "<|E>"
+    for label in ("\tPassport\n", "　passport "):
+        assert one(spark, blur.label_category(F.col("t")), t=label) == "card_object"
+    failed = lambda n, s, c, m: one(spark, text.api_error_text(*map(F.lit, (n, s, c, m))))
+    assert failed("X", 401, "", "").startswith("authentication") and failed("RateLimitError", 0, "", "").startswith("rate")
+    assert "too large" in failed("BadRequestError", 400, "", "over 25 MB") and "size limits" in failed("E", 400, "", "File size") and failed("E", 500, "", "x") == "transcription failed: x"
 
 
 @pytest.mark.parametrize("raw, want", [("30000/1001", 29.97), ("25/1", 25.0), ("0/0", 0.0), ("", 0.0), ("x/1", 0.0), ("23.976", 23.976), (None, 0.0)])
@@ -237,7 +245,8 @@ def test_throttle():
     assert [r[2] for r in progress.throttle(rows, None)[0]] == [0, 10, 11, 15]
     assert [r[2] for r in progress.throttle([(0.0, "d", 0, None), (0.1, "d", 50, None), (1.0, "d", 90, None)], None)[0]] == [0, 90]
     assert len(progress.throttle([(0.0, "a", 0, None), (0.0, "b", 0, None), (0.0, "a", 0, None)], None)[0]) == 3
-    assert progress.retry_plan([500, None, 502]) == [1.0, 2.0] and progress.retry_plan([404, 500]) == []
+    assert progress.retry_plan([500, None, 502]) == [2.0, 4.0, 8.0] == progress.retry_plan([500] * 9)
+    assert progress.retry_plan([404, 500]) == [] and progress.retry_plan([503, 200]) == [2.0]
 
 
 def test_throttle_stream_equals_table(spark, tmp_path):
