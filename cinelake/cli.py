@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.functions import text
-from cinelake.operators import blur, faces, models, records, scenes, signals, transcode
+from cinelake.operators import blur, codecs, faces, models, records, scenes, signals, transcode
 from cinelake.sources import io
 
 VERSION = "1.0"
@@ -67,11 +67,25 @@ def doctor(args: argparse.Namespace) -> int:
     return 0 if args.json or args.out or told["summary"]["all_ok"] else 1
 
 
+def _ran(args: argparse.Namespace, command) -> DataFrame:
+    """The one command's result; its failure ends the run."""
+    rows = _spark().createDataFrame([(args.video_id, args.video)], "video_id string, path string")
+    done = codecs.run_commands(rows.withColumn("command", command(F.col("path"))))
+    told = done.first()
+    if told["status"] != 0:
+        raise RuntimeError(f"{told['command'][0]} failed: {told['stderr'].strip()}")
+    return _spark().createDataFrame([told], done.schema)
+
+
 def _totals(args: argparse.Namespace) -> DataFrame:
+    if args.duration_ms is None:
+        return _ran(args, codecs.duration).select("video_id", codecs.duration_ms(F.col("stdout")).alias("total_ms"))
     return _spark().createDataFrame([(args.video_id, args.duration_ms)], "video_id string, total_ms bigint")
 
 
 def _cuts(args: argparse.Namespace) -> DataFrame:
+    if args.cuts is None:
+        return signals.cuts_from_log(codecs.log_lines(_ran(args, lambda p: codecs.scene_log(p, args.threshold))))
     return signals.cuts_from_log(io.read_log(_spark(), args.cuts)).select(F.lit(args.video_id).alias("video_id"), "cut_ms")
 
 
@@ -250,7 +264,7 @@ def _parser() -> argparse.ArgumentParser:
 
     must, number, real = {"required": True}, {"type": int}, {"type": float}
     video, blocks = ("--video-id", must), ("--redact-pii", {"action": "store_true"})
-    cuts = [video, ("--cuts", must), ("--duration-ms", {**must, **number})]
+    cuts = [video, ("--video", {}), ("--threshold", {**real, "default": 0.3}), ("--cuts", {}), ("--duration-ms", number)]
     speech, words = ("--speech-result", {}), ("--dictionary", {})
     command(groups, "doctor", doctor, ("--json", {"action": "store_true"}), ("--out", {}), out=False)
     g = group("scenes")
@@ -278,5 +292,8 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if "cuts" in args and args.video is None and (args.cuts is None or args.duration_ms is None):
+        parser.error("needs --video, or --cuts and --duration-ms")
     return args.run(args)
