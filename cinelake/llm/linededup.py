@@ -10,7 +10,8 @@ character deleted (with the place) and itself. Two lines at distance one share s
 variant at the same place, an insertion makes one line the variant of the other. Within a key of the first kind
 every line is at distance one from every other, and in one of the second every variant's line from the whole line, so
 linking each line to its key's earliest line loses nothing and never emits pairs. Linked lines are verified by their edit
-distance.
+distance. The bound is one edit by design: a neighbourhood of two deletions has half the square of a line's length of keys, some
+65,000 for a line of usual length, and keys that say less than a whole variant would leave pairs of a group to be listed.
 
 Only lines that can have a partner emit variants: at distance one, the first or the second half of the shorter line (split
 in the middle) stands at the same end of the other one. Both lines emit those halves as keys, by the length of the
@@ -18,7 +19,8 @@ shorter line; a line that shares no half has no partner.
 
 Defined results: a null text stays null, an empty one empty, with no line dropped; rows that agree in id and text count
 as one occurrence and lose the same lines; null ids come last; an empty table gives an empty table; columns named like
-the added ones are replaced.
+the added ones (``added``) are replaced. Texts are cut in their task, variants emitted in portions: memory grows with the
+longest line.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from cinelake.llm.textcore import U64, mix64, powers
 
 MIN_CHARS = 20
 ALL_LINES = 1  # as exact_chars
-MAX_BROADCAST_LINES = 200_000  # of some 50 bytes each
+MAX_BROADCAST_BYTES = 10 << 20  # of the wanted lines
 WHOLE, PLACE, LOOSE = 0, 1, 2
 _SPACE = re.compile(r"\s+")
 
@@ -129,7 +131,8 @@ def _chosen_texts(docs: DataFrame, wanted: DataFrame, with_variants: bool) -> Da
     per = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("line", "h1", "h2")).alias("want"))
     per = per.select(F.col("id").alias("id2"), F.col("key").alias("key2"), "want")
     texts = docs.select("nul", "id", "key", "text")
-    if wanted.count() <= MAX_BROADCAST_LINES:
+    size = F.sum(F.coalesce(F.octet_length(F.col("id").cast("string")), F.lit(0)) + 44)  # of each line: id, key, place, hash
+    if (wanted.agg(size).first()[0] or 0) <= MAX_BROADCAST_BYTES:
         per = F.broadcast(per)
     joined = texts.join(per, (F.col("key") == F.col("key2")) & F.col("id").eqNullSafe(F.col("id2")))
     joined = joined.select("nul", "id", "key", "text", "want")
