@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cinelake.llm import stages
-from cinelake.llm.scratch import Scratch
+from cinelake.llm.scratch import Scratch, clear, mark
 
 STAGES = [
     ("language_id", stages.language_id),
@@ -27,5 +27,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        before = mark()
+        done = scratch.keep(stage(spark, docs, sf_dir), name)
+        clear(spark, before)  # what the stage's operators kept, and the table that it read
+        scratch.release(done)
+        docs = done
     return docs
