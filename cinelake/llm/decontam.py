@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.llm.scratch import Scratch
-from cinelake.llm.textcore import U64, column_bytes, slices, words
+from cinelake.llm.textcore import U64, slices, words
 
 WINDOW = 13
 SEGMENT_BYTES = 1 << 20

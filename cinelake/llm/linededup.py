@@ -25,7 +25,6 @@ longest line.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +41,6 @@ MIN_CHARS = 20
 ALL_LINES = 1  # as exact_chars
 MAX_BROADCAST_BYTES = 10 << 20  # of the wanted lines
 WHOLE, PLACE, LOOSE = 0, 1, 2
-_SPACE = re.compile(r"\s+")
 
 
 def normal(line: str) -> str:

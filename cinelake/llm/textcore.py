@@ -13,7 +13,6 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_MASK = (1 << 64) - 1
 SLICE_BYTES = 1 << 20
 CHUNK = (1 << 17) - 1  # bytes whose words are hashed at a time
 
