@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.llm.scratch import Scratch
+from cinelake.llm.skew import split_join
 from cinelake.llm.textcore import U64, mix64, shingles, slices, weighted, words
 
 WIDTH = 5
@@ -150,14 +151,15 @@ def similarity(a: bytes, b: bytes) -> float:
     return shared / (int(wa.sum()) + int(wb.sum()) - shared)
 
 
-def compare(pairs: DataFrame, features: DataFrame) -> DataFrame:
-    """pairs(x, y) -> x, y, sim. A y with many partners is met in chunks, each with its own copy of y's feature."""
+def compare(pairs: DataFrame, features: DataFrame, total: int) -> DataFrame:
+    """pairs(x, y), ``total`` at most -> x, y, sim. A y with many partners is met in chunks, each with its own copy of y's feature."""
     # Sort-merge on purpose: a side that is small today would be broadcast and tomorrow not.
     by_x = features.withColumnRenamed("feature", "fx").hint("merge")
     by_y = features.withColumnRenamed("x", "y").withColumnRenamed("feature", "fy").hint("merge")
-    chunks = pairs.groupBy("y").agg((F.floor(F.count(F.lit(1)) / CHUNK) + 1).cast("int").alias("chunks"))
-    left = pairs.join(chunks, "y").withColumn("chunk", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int")).drop("chunks")
-    left = left.join(by_x, "x")
+    chunks = pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+    chunks = chunks.withColumn("chunks", (F.floor(F.col("n") / CHUNK) + 1).cast("int"))
+    left = split_join(pairs, chunks, ["y"], "n", total)
+    left = left.select("x", "y", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int").alias("chunk")).join(by_x, "x")
     right = chunks.select("y", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).join(by_y, "y").hint("merge")
     both = left.join(right, ["y", "chunk"]).select("x", "y", "fx", "fy")
     out = T.StructType([both.schema["x"], both.schema["y"], T.StructField("sim", T.DoubleType())])
@@ -178,40 +180,44 @@ def _rooted(rows: DataFrame, col: str, roots: DataFrame, out: str) -> DataFrame:
 
 def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
     """members(key, x) of buckets with two or more -> verified links (x, y), enough for the components."""
-    firsts = members.groupBy("key").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("m"))
-    star = scratch.keep(members.join(firsts, "key"), "star")
+    firsts = scratch.keep(members.groupBy("key").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("m")), "firsts")
+    total = firsts.agg(F.sum("m")).first()[0] or 0
+    star = split_join(members, firsts, ["key"], "m", total)
     pairs = scratch.keep(star.where("x != y").select("x", "y").distinct(), "pairs")
     one = pairs.groupBy("x").agg(F.min("y").alias("y"))
-    links = scratch.keep(compare(one, features).where(F.col("sim") >= threshold).select("x", "y"), "links")
+    links = scratch.keep(compare(one, features, total).where(F.col("sim") >= threshold).select("x", "y"), "links")
     roots = components(links, scratch)
-    rest = pairs.join(one, ["x", "y"], "left_anti")
-    rest = _rooted(_rooted(rest, "x", roots, "cx"), "y", roots, "cy").where("cx != cy").select("x", "y")
-    more = compare(scratch.keep(rest, "rest"), features).where(F.col("sim") >= threshold).select("x", "y")
+    rest = _rooted(pairs.join(one, ["x", "y"], "left_anti"), "x", roots, "cx")
+    partners = _rooted(pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n")), "y", roots, "cy")
+    rest = split_join(rest, partners, ["y"], "n", total).where("cx != cy").select("x", "y")
+    more = compare(scratch.keep(rest, "rest"), features, total).where(F.col("sim") >= threshold).select("x", "y")
     links = scratch.keep(links.unionByName(more), "links")
     roots = components(links, scratch)
     # Now a member is in its first member's component, or was compared with that and failed.
-    star = _rooted(_rooted(star, "x", roots, "c"), "y", roots, "cy").withColumn("out", F.col("c") != F.col("cy"))
+    firsts = _rooted(firsts, "y", roots, "cy")
+    star = split_join(_rooted(members, "x", roots, "c"), firsts, ["key"], "m", total).withColumn("out", F.col("c") != F.col("cy"))
     star = scratch.keep(star.select("key", "x", "y", "m", "c", "out"), "star")
-    split = star.groupBy("key").agg(F.count_if("out").alias("n_out")).where("n_out > 0")
-    star = scratch.keep(star.join(split, "key"), "split")
+    split = star.groupBy("key").agg(F.max("m").alias("m"), F.count_if("out").alias("n_out")).where("n_out > 0")
+    star = scratch.keep(split_join(star.drop("m"), split, ["key"], "m", total), "split")
     small = star.where((F.col("m") <= SMALL) & (F.col("x") != F.col("y")))
     other = small.select("key", F.col("x").alias("x2"), F.col("c").alias("c2"))
     pairs = small.join(other, "key").where("x < x2 and c != c2").select("x", F.col("x2").alias("y")).distinct()
-    found = compare(scratch.keep(pairs, "cross"), features).where(F.col("sim") >= threshold).select("x", "y")
+    pairs = scratch.keep(pairs, "cross")
+    found = compare(pairs, features, pairs.count()).where(F.col("sim") >= threshold).select("x", "y")
     links = links.unionByName(scratch.keep(found, "links"))
     large = star.where(F.col("m") > SMALL)
-    if large.limit(1).count():  # else there is no cell to fill
-        links = links.unionByName(scratch.keep(block_links(large, features, threshold), "blocks"))
+    total = large.count()
+    if total:  # else there is no cell to fill
+        links = links.unionByName(scratch.keep(block_links(large, features, threshold, total), "blocks"))
     return links.distinct()
 
 
-def block_links(large: DataFrame, features: DataFrame, threshold: float) -> DataFrame:
-    """large(key, x, c, out) -> links between different components of a bucket, by cells of two blocks.
+def block_links(large: DataFrame, features: DataFrame, threshold: float, total: int) -> DataFrame:
+    """large(key, x, c, out) of ``total`` rows -> links between different components of a bucket, by cells of two blocks.
 
     The members outside the first member's component are dealt into blocks of about BLOCK members and BLOCK_BYTES bytes at
-    most, and so are the rest. A cell
-    compares a block of the former with one of the latter or with another (or the same) of its own kind, so a cell
-    holds at most some 2 * BLOCK features and gives at most as many links.
+    most, and so are the rest. A cell compares a block of the former with one of the latter or with another (or the same) of
+    its own kind, so a cell holds at most some 2 * BLOCK features and gives at most as many links.
     """
     sizes = features.select("x", F.octet_length("feature").alias("bytes"))
     rows = large.select("key", "x", "c", "out").join(sizes.hint("merge"), "x")
@@ -220,8 +226,8 @@ def block_links(large: DataFrame, features: DataFrame, threshold: float) -> Data
         by_bytes = F.sum(F.when(which, F.col("bytes")).otherwise(0)) / BLOCK_BYTES
         return F.greatest(F.ceil(F.greatest(F.count_if(which) / BLOCK, by_bytes)), F.lit(1)).cast("int")
 
-    per = rows.groupBy("key").agg(blocks(F.col("out")).alias("no"), blocks(~F.col("out")).alias("ni"))
-    rows = rows.join(per, "key")
+    per = rows.groupBy("key").agg(blocks(F.col("out")).alias("no"), blocks(~F.col("out")).alias("ni"), F.count(F.lit(1)).alias("n"))
+    rows = split_join(rows, per, ["key"], "n", total)
     rows = rows.withColumn("own", F.pmod(F.xxhash64("x"), F.when(F.col("out"), F.col("no")).otherwise(F.col("ni"))).cast("int"))
     over = lambda n: F.sequence(F.lit(0), n - 1)
     cell = lambda i, j, left: F.struct(i.alias("i"), j.alias("j"), F.lit(left).alias("left"))
@@ -305,21 +311,23 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
 
     The stars settle after a number of rounds that grows with the logarithm of the nodes.
     """
+    def state(edges: DataFrame) -> tuple:
+        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
     edges = scratch.keep(links.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
-    before = None
+    now = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")).where("n > 0")
         # large-star: larger neighbours of u go to the least of u's neighbourhood
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = split_join(both.where("v > u"), low, ["u"], "n", now[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small-star: u and its smaller neighbours go to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = split_join(large, least, ["u"], "n", now[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         edges = scratch.keep(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        before, now = now, state(edges)
         if now == before:
             return edges.select(F.col("u").alias("x"), F.col("v").alias("root"))
-        before = now
 
 
 def text_hashes(text_col: str) -> tuple[Column, Column]:
@@ -328,16 +336,18 @@ def text_hashes(text_col: str) -> tuple[Column, Column]:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(rows: id, h1, h2, bands; texts with words: h1, h2, rep = (nul, id, h1, h2) of the text, root = that of its class)."""
+    """(rows: id, h1, h2, bands; texts with words: h1, h2, rep = (nul, id, h1, h2) of the text, copies, root = that of its class)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     src = docs.select(F.col(id_col).alias("id"), *text_hashes(text_col), F.col(text_col).alias("text"))
     signed = scratch.keep(_signed_docs(src), "signed")
     who = F.struct(F.col("id").isNull().alias("nul"), "id", "h1", "h2")
-    texts = signed.where("bands is not null").groupBy("h1", "h2").agg(F.min(who).alias("rep"), F.any_value("bands").alias("bands"))
+    texts = signed.where("bands is not null").groupBy("h1", "h2").agg(
+        F.min(who).alias("rep"), F.any_value("bands").alias("bands"), F.count(F.lit(1)).alias("copies")
+    )
     texts = scratch.keep(texts.withColumn("x", F.monotonically_increasing_id()), "texts")  # written once, so the numbers stay
     entries = texts.select("x", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b")).where("a != b").select("key")
-    members = scratch.keep(entries.join(shared, "key", "left_semi").select("key", "x"), "buckets")
+    shared = entries.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b")
+    members = scratch.keep(split_join(entries, shared, ["key"], "n", BANDS * texts.count()).select("key", "x"), "buckets")
     wanted = texts.join(members.select("x").distinct(), "x", "left_semi")
     wanted = wanted.select("x", F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("rep.id").alias("wid"))
     same = (F.col("h1") == F.col("w1")) & (F.col("h2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("wid"))
@@ -347,10 +357,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     roots = components(links, scratch)
     nodes = roots.unionByName(roots.select(F.col("root").alias("x"), "root").distinct())
     nodes = texts.select("x", "h1", "h2", "rep").join(nodes, "x")
-    least = nodes.groupBy("root").agg(F.min("rep").alias("least"))
-    nodes = nodes.join(least, "root").select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "least")
-    texts = texts.select("h1", "h2", "rep").join(nodes, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")
-    texts = texts.select("h1", "h2", "rep", F.coalesce("least", "rep").alias("root"))
+    least = nodes.groupBy("root").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n"))
+    nodes = split_join(nodes, least, ["root"], "n", texts.count()).select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), "least")
+    texts = texts.select("h1", "h2", "rep", "copies").join(nodes, (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2")), "left")
+    texts = texts.select("h1", "h2", "rep", "copies", F.coalesce("least", "rep").alias("root"))
     done = scratch.keep(texts, "classes")
     scratch.release(signed, done)
     return signed, done
@@ -359,9 +369,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per row: id, class_id (the least id of its class) and is_first (its id is the class's)."""
     rows, texts = classes(docs, id_col, text_col, threshold)
-    facts = texts.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), "root")
-    worded = F.col("bands").isNotNull() & (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2"))
-    out = rows.join(facts, worded, "left")
+    out = split_join(rows.drop("bands"), texts.select("h1", "h2", "root", "copies"), ["h1", "h2"], "copies", rows.count(), how="left")
     class_id = F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("root.id"))
     return out.select(F.col("id").alias(id_col), class_id.alias("class_id"), F.col("id").eqNullSafe(class_id).alias("is_first"))
 
@@ -371,13 +379,16 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, texts = classes(docs, id_col, text_col, threshold)
     h1, h2 = text_hashes(text_col)
     # A class's first text stays, in the row of its first id; all other texts and rows go.
-    facts = texts.select(F.col("h1").alias("__f1"), F.col("h2").alias("__f2"), (F.col("rep") == F.col("root")).alias("__stays"), F.col("rep.id").alias("__rep"))
+    facts = texts.select(
+        F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), (F.col("rep") == F.col("root")).alias("__stays"),
+        F.col("rep.id").alias("__rep"), F.col("copies").alias("__copies"),
+    )
     keyed = docs.select("*", h1.alias("__h1"), h2.alias("__h2"))
-    joined = keyed.join(facts, (F.col("__h1") == F.col("__f1")) & (F.col("__h2") == F.col("__f2")), "left")
-    stays = F.col("__f1").isNull() | (F.col("__stays") & F.col(id_col).eqNullSafe(F.col("__rep")))
+    joined = split_join(keyed, facts, ["__h1", "__h2"], "__copies", rows.count(), by=[id_col], how="left")
+    stays = F.col("__stays").isNull() | (F.col("__stays") & F.col(id_col).eqNullSafe(F.col("__rep")))
     kept = joined.where(stays)
     twice = rows.where("bands is not null").groupBy("id", "h1", "h2").count().where("count > 1")
     if twice.limit(1).count():  # rows repeated in full: one stays
-        plain = kept.where("__f1 is null")
-        kept = kept.where("__f1 is not null").dropDuplicates(["__h1", "__h2"]).unionByName(plain)
+        plain = kept.where("__stays is null")
+        kept = kept.where("__stays").dropDuplicates(["__h1", "__h2"]).unionByName(plain)
     return kept.select(docs.columns)

@@ -1,0 +1,39 @@
+"""Joins whose one side has hot keys.
+
+The rows of a hot key are dealt to pieces, and the key's one row of the other side is copied to each piece. Which keys are
+hot is broadcast: at most MOST_HOT keys, since a key is hot only beyond PIECE rows and beyond a MOST_HOT-th of all rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PIECE = 512  # rows of a key that may always meet in one task
+MOST_HOT = 1 << 16
+
+
+def piece_rows(total: int) -> int:
+    """Rows of one key that may meet in one task, of this many rows."""
+    return max(PIECE, -(-total // MOST_HOT))
+
+
+def split_join(
+    rows: DataFrame, facts: DataFrame, keys: list[str], count: str, total: int, by: list[str] | None = None, how: str = "inner"
+) -> DataFrame:
+    """rows joined (``inner`` or ``left``) on keys with facts, which has one row per key and in ``count`` its number of rows.
+
+    ``total`` is the number of rows, or a bound above it. Rows are dealt by the hash of ``by`` (all columns unless given), so
+    only rows that agree in those stay in one piece. Null keys match nothing. Needs more than PIECE rows to split any key.
+    """
+    limit = piece_rows(total)
+    if total <= limit:  # no key can be hot
+        return rows.join(facts, keys, how)
+    pieces = F.ceil(F.col(count) / limit).cast("int")
+    hot = facts.where(F.col(count) > limit).select(*keys, pieces.alias("__pieces"))
+    dealt = rows.join(F.broadcast(hot), keys, "left")
+    piece = F.pmod(F.xxhash64(F.lit(17), *(by or rows.columns)), F.coalesce("__pieces", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("__piece", piece).drop("__pieces")
+    last = F.when(F.col(count) > limit, pieces - 1).otherwise(0)
+    copies = facts.withColumn("__piece", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.join(copies, [*keys, "__piece"], how).drop("__piece")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from cinelake.llm import linededup, neardup, queries, stages
+from cinelake.llm import linededup, neardup, queries, skew, stages
 from tests.llm.util import docs_of, odd_rows, real_docs, words_of
 
 
@@ -174,9 +174,13 @@ def spread_copies():
     return rows
 
 
-@pytest.mark.parametrize("small, block, size", [(32, 384, 1 << 23), (3, 8, 1 << 23), (1, 1, 1 << 23), (3, 384, 9000)])
-def test_spread_copies_brute_force(spark, monkeypatch, small, block, size):
+@pytest.mark.parametrize(
+    "small, block, size, piece",
+    [(32, 384, 1 << 23, 512), (3, 8, 1 << 23, 2), (1, 1, 1 << 23, 512), (3, 384, 9000, 10)],
+)
+def test_spread_copies_brute_force(spark, monkeypatch, small, block, size, piece):
     monkeypatch.setattr(neardup, "SMALL", small)
+    monkeypatch.setattr(skew, "PIECE", piece)
     monkeypatch.setattr(neardup, "BLOCK", block)
     monkeypatch.setattr(neardup, "BLOCK_BYTES", size)
     rows = spread_copies()
@@ -203,6 +207,16 @@ def test_near_odd_rows(spark):
     assert neardup.near_duplicates(docs_of(spark, empty=True)).count() == 0
 
 
+def test_hot_text_keeps_one(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PIECE", 4)
+    text = "one text that is here a great many times over"
+    rows = [(i, text, "en", "a", 1, 1, "x", "y") for i in range(90, 10, -1)] + odd_rows()
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs_of(spark, rows)).collect()}
+    assert {got[i] for i in range(11, 91)} == {11} and got[5] == 4 and got[None] is None
+    kept = [r["doc_id"] for r in neardup.keep_first(docs_of(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([1, 2, None, 3, 4, 6, 7, 8, 11], key=str)
+
+
 def test_rows_repeated_in_full_keep_one(spark):
     rows = [(1, "one text that is here three times over", "en", "a", 1, 1, "x", "y")] * 3
     assert neardup.keep_first(docs_of(spark, rows)).count() == 1

@@ -1,0 +1,43 @@
+"""The join of hot keys against a plain join."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from cinelake.llm import skew
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_join_is_a_join(spark, monkeypatch, how):
+    monkeypatch.setattr(skew, "PIECE", 5)
+    keys = [1] * 200 + [2] * 6 + [3] * 5 + [4, None, 9, 9]
+    rows = spark.createDataFrame(list(enumerate(keys)), "id bigint, k int")
+    facts = [(k, n, f"f{k}") for k, n in Counter(keys).items() if k not in (9, None)]
+    facts = spark.createDataFrame([*facts, (7, 0, "f7")], "k int, n bigint, f string")
+    got = skew.split_join(rows, facts, ["k"], "n", len(keys), how=how)
+    want = rows.join(facts, "k", how)
+    assert got.columns == want.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    assert skew.split_join(rows.limit(0), facts, ["k"], "n", len(keys), how=how).count() == 0
+
+
+def test_hot_key_is_dealt_to_pieces(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PIECE", 100)
+    rows = spark.range(6000).select(F.lit(1).alias("k"), "id", F.create_map(F.lit("a"), "id").alias("extra"))
+    facts = spark.createDataFrame([(1, 6000)], "k int, n bigint").hint("merge")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        sizes = skew.split_join(rows, facts, ["k"], "n", 6000, by=["id"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) < 1000
+
+
+def test_number_of_hot_keys_is_bounded():
+    for total in (1, 10**3, 10**6, 10**11):
+        limit = skew.piece_rows(total)
+        assert limit >= skew.PIECE and total // (limit + 1) <= skew.MOST_HOT
