@@ -178,8 +178,15 @@ def _rooted(rows: DataFrame, col: str, roots: DataFrame, out: str) -> DataFrame:
     return rows.join(r, F.col(col) == F.col("__n"), "left").withColumn(out, F.coalesce("__r", col)).drop("__n", "__r")
 
 
+def _stars(roots: DataFrame) -> DataFrame:
+    return roots.select("x", F.col("root").alias("y"))
+
+
 def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, threshold: float = THRESHOLD) -> DataFrame:
-    """members(key, x) of buckets with two or more -> verified links (x, y), enough for the components."""
+    """members(key, x) of buckets with two or more -> edges (x, y) with the components of all verified links.
+
+    Links found so far go on as their components' stars, which later rounds leave as they are.
+    """
     firsts = scratch.keep(members.groupBy("key").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("m")), "firsts")
     total = firsts.agg(F.sum("m")).first()[0] or 0
     star = split_join(members, firsts, ["key"], "m", total)
@@ -191,7 +198,7 @@ def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, thre
     partners = _rooted(pairs.groupBy("y").agg(F.count(F.lit(1)).alias("n")), "y", roots, "cy")
     rest = split_join(rest, partners, ["y"], "n", total).where("cx != cy").select("x", "y")
     more = compare(scratch.keep(rest, "rest"), features, total).where(F.col("sim") >= threshold).select("x", "y")
-    links = scratch.keep(links.unionByName(more), "links")
+    links = scratch.keep(_stars(roots).unionByName(more), "links")
     roots = components(links, scratch)
     # Now a member is in its first member's component, or was compared with that and failed.
     firsts = _rooted(firsts, "y", roots, "cy")
@@ -204,12 +211,12 @@ def bucket_links(members: DataFrame, features: DataFrame, scratch: Scratch, thre
     pairs = small.join(other, "key").where("x < x2 and c != c2").select("x", F.col("x2").alias("y")).distinct()
     pairs = scratch.keep(pairs, "cross")
     found = compare(pairs, features, pairs.count()).where(F.col("sim") >= threshold).select("x", "y")
-    links = links.unionByName(scratch.keep(found, "links"))
+    links = _stars(roots).unionByName(scratch.keep(found, "links"))
     large = star.where(F.col("m") > SMALL)
     total = large.count()
     if total:  # else there is no cell to fill
         links = links.unionByName(scratch.keep(block_links(large, features, threshold, total), "blocks"))
-    return links.distinct()
+    return links
 
 
 def block_links(large: DataFrame, features: DataFrame, threshold: float, total: int) -> DataFrame:

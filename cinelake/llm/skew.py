@@ -1,7 +1,8 @@
 """Joins whose one side has hot keys.
 
-The rows of a hot key are dealt to pieces, and the key's one row of the other side is copied to each piece. Which keys are
-hot is broadcast: at most MOST_HOT keys, since a key is hot only beyond PIECE rows and beyond a MOST_HOT-th of all rows.
+The rows of a hot key are dealt to pieces, and the key's row of the other side is copied to each piece. The keys that may be
+hot are broadcast: those with more than a MOST_HOT-th of all rows, so fewer than MOST_HOT at any size of the input. The list
+is one of shares, not of counts, so that the plan is the same for small and large tables.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 512  # rows of a key that may always meet in one task
-MOST_HOT = 1 << 16
+MOST_HOT = 1 << 13
 
 
 def piece_rows(total: int) -> int:
@@ -19,9 +20,11 @@ def piece_rows(total: int) -> int:
 
 
 def split_join(
-    rows: DataFrame, facts: DataFrame, keys: list[str], count: str, total: int, by: list[str] | None = None, how: str = "inner"
-) -> DataFrame:
+    rows: DataFrame, facts: DataFrame, keys: list[str], count: str, total: int, by: list[str] | None = None, how: str = "inner",
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """rows joined (``inner`` or ``left``) on keys with facts, which has one row per key and in ``count`` its number of rows.
+    If facts has several rows per key, ``sizes`` has one (the keys and count).
 
     ``total`` is the number of rows, or a bound above it. Rows are dealt by the hash of ``by`` (all columns unless given), so
     only rows that agree in those stay in one piece. Null keys match nothing. Needs more than PIECE rows to split any key.
@@ -30,7 +33,7 @@ def split_join(
     if total <= limit:  # no key can be hot
         return rows.join(facts, keys, how)
     pieces = F.ceil(F.col(count) / limit).cast("int")
-    hot = facts.where(F.col(count) > limit).select(*keys, pieces.alias("__pieces"))
+    hot = (facts if sizes is None else sizes).where(F.col(count) * MOST_HOT > total).select(*keys, pieces.alias("__pieces"))
     dealt = rows.join(F.broadcast(hot), keys, "left")
     piece = F.pmod(F.xxhash64(F.lit(17), *(by or rows.columns)), F.coalesce("__pieces", F.lit(1))).cast("int")
     dealt = dealt.withColumn("__piece", piece).drop("__pieces")

@@ -22,6 +22,15 @@ def test_split_join_is_a_join(spark, monkeypatch, how):
     assert skew.split_join(rows.limit(0), facts, ["k"], "n", len(keys), how=how).count() == 0
 
 
+def test_facts_with_several_rows_per_key(spark, monkeypatch):
+    monkeypatch.setattr(skew, "PIECE", 5)
+    rows = spark.createDataFrame([(i, 1 if i < 50 else 2) for i in range(53)], "id int, k int")
+    sizes = spark.createDataFrame([(1, 50), (2, 3)], "k int, n bigint")
+    facts = spark.createDataFrame([(1, 50, "a"), (1, 50, "b"), (2, 3, "c")], "k int, n bigint, f string")
+    got = skew.split_join(rows, facts, ["k"], "n", 53, sizes=sizes).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, rows.join(facts, "k").collect())) and len(got) == 103
+
+
 def test_hot_key_is_dealt_to_pieces(spark, monkeypatch):
     monkeypatch.setattr(skew, "PIECE", 100)
     rows = spark.range(6000).select(F.lit(1).alias("k"), "id", F.create_map(F.lit("a"), "id").alias("extra"))
