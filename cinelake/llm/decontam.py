@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.llm.scratch import Scratch
+from cinelake.llm.skew import split_join
 from cinelake.llm.textcore import U64, slices, words
 
 WINDOW = 13
@@ -205,13 +206,16 @@ def search_index(index: DataFrame, windows: DataFrame, scratch: Scratch, span: i
     """index with seg, windows(wid, grams) -> hits (seg, doc, start, size, wid): exact occurrences, start and size in words;
     with ``span``, (seg, doc, wid) of the windows whose words stand within it, start and size 0. doc: place in the segment."""
     terms = windows.select("wid", F.explode(F.array_distinct("grams")).alias("term"))
-    vocabulary = scratch.keep(terms.select("term").distinct(), "vocabulary")
+    vocabulary = scratch.keep(terms.groupBy("term").agg(F.count(F.lit(1)).alias("wids")), "vocabulary")
     postings = index.select("seg", F.explode("terms").alias("term")).join(vocabulary, "term", "left_semi")
     postings = scratch.keep(postings, "postings")
-    often = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    rarest = terms.join(often, "term").groupBy("wid").agg(F.min(F.struct("n", "term"))["term"].alias("term"), F.count(F.lit(1)).alias("held"))
-    rarest = windows.join(rarest, "wid").where(F.col("held") == F.size(F.array_distinct("grams"))).select("wid", "grams", "term")
-    met = scratch.keep(rarest.join(postings, "term").select("seg", "wid", "grams"), "met")
+    often = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n")).join(vocabulary, "term")
+    often = scratch.keep(often, "often")
+    total = vocabulary.agg(F.sum("wids")).first()[0] or 0
+    rarest = split_join(terms, often, ["term"], "wids", total).groupBy("wid").agg(F.min(F.struct("n", "term")).alias("least"), F.count(F.lit(1)).alias("held"))
+    rarest = windows.join(rarest, "wid").where(F.col("held") == F.size(F.array_distinct("grams"))).select("wid", "grams", "least.term", "least.n")
+    met = split_join(postings, rarest, ["term"], "n", postings.count(), sizes=often)
+    met = scratch.keep(met.select("seg", "wid", "grams"), "met")
     parts = met.groupBy("seg").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
     met = met.join(parts, "seg").withColumn("part", F.pmod(F.xxhash64("wid"), F.col("parts")))
     lists = met.groupBy("seg", "part").agg(F.collect_list(F.struct("wid", "grams")).alias("wanted"))
@@ -268,7 +272,9 @@ def _indexed(
 
 def _listed(hits: DataFrame, owners: DataFrame) -> DataFrame:
     """(seg, doc, items): the sorted items of each document's windows."""
-    found = hits.select("seg", "doc", "wid").distinct().join(owners, "wid").select("seg", "doc", "item").distinct()
+    found = hits.select("seg", "doc", "wid").distinct()
+    sizes = found.groupBy("wid").agg(F.count(F.lit(1)).alias("n"))
+    found = split_join(found, owners.join(sizes, "wid"), ["wid"], "n", hits.count(), sizes=sizes).select("seg", "doc", "item").distinct()
     return found.groupBy("seg", "doc").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontam, html, mixing
+from cinelake.llm import decontam, html, mixing, skew
 from tests.llm.util import docs_of, odd_rows, real_docs, words_of
 
 
@@ -45,7 +45,9 @@ def test_contamination_real(spark, sf_dir, how):
     assert any(x[4] for x in want.values())
 
 
-def test_contamination_random(spark):
+@pytest.mark.parametrize("piece", [512, 3])
+def test_contamination_random(spark, monkeypatch, piece):
+    monkeypatch.setattr(skew, "PIECE", piece)
     rng = random.Random(2)
     items = [(i, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 16)))) for i in range(30)]
     items += [(3, "a a a a"), (None, "b b b b"), (40, None), (41, "?!"), (42, "Ünique WORD")]
