@@ -2,6 +2,9 @@
 
 An operator releases the tables that its result does not read. What its result reads stays until ``clear``, or until the
 driver's Python ends while the session still runs.
+
+Tables are written in row groups of about ``ROW_GROUP_BYTES``, each of which is a batch of the reader at most. Parquet's own
+128 MB, looked at only every 100 to 10,000 rows, would put hundreds of rows of a megabyte (index segments) into one batch.
 """
 
 from __future__ import annotations
@@ -13,6 +16,10 @@ import uuid
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
+ROW_GROUP_BYTES = 16 << 20
+CHECK_ROWS = 16  # after at most so many rows, the writer looks at the size of its row group and pages
+WRITER = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": CHECK_ROWS}
+
 _OWN: dict[str, str] = {}
 _LIVE: list[tuple[str, str]] = []  # (application, folder) of every Scratch not cleared yet
 
@@ -72,7 +79,7 @@ class Scratch:
         """Write df as Parquet and read it back: later plans start from the files, which outlive executors."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{label}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.options(**WRITER).mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.kept.append((out, path))
         return out

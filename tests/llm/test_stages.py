@@ -91,3 +91,23 @@ def test_scratch_is_cleared(spark):
     assert len(os.listdir(folder)) == 1 and b.agg(F.count(F.lit(1))).first()[0] == 5
     scratch.clear(spark, at)
     assert not os.path.exists(folder) and scratch.mark() == at
+
+
+def test_scratch_tables_have_small_row_groups(spark):
+    """A row group is a batch of the reader: wide rows, some narrow ones first, must not make one of the whole file."""
+    import pyarrow.parquet as pq
+
+    at = scratch.mark()
+    s = scratch.Scratch(spark, "t")
+    # About 720 KB a row from row 40 on, like a segment of the index; hashes don't compress.
+    wide = F.transform(F.sequence(F.lit(1), F.when(F.col("id") < 40, 1).otherwise(90_000)), lambda i: F.xxhash64(i, F.col("id")))
+    kept = s.keep(spark.range(0, 160, 1, 1).select("id", wide.alias("terms")))
+    assert kept.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).first() == (160, 40 + 120 * 90_000)
+    folder = s.kept[0][1].removeprefix("file://")
+    sizes = []
+    for f in os.listdir(folder):
+        if f.endswith(".parquet"):
+            meta = pq.read_metadata(f"{folder}/{f}")
+            sizes += [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert sum(sizes) > 80e6 and max(sizes) <= scratch.ROW_GROUP_BYTES + scratch.CHECK_ROWS * 800_000
+    scratch.clear(spark, at)
