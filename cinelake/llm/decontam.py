@@ -10,7 +10,9 @@ with the dictionaries, so a segment meets only windows whose rarest term it has,
 There, lists of positions are intersected from the segment's rarest term on: its list, less the term's offset in the window,
 with the next rarest term's offset-adjusted list, and so on; what is left are the exact starts of the phrase. Occurrences
 over the end of a document do not count. Proximity search keeps the windows whose distinct words all stand, in any order,
-within ``span`` consecutive words of one document. Neither the benchmark nor the hits are ever held by the driver.
+within ``span`` consecutive words of one document. Neither the benchmark nor the hits are ever held by the driver: joins
+of tables that grow with either are hinted to merge, since Spark goes by the size of their files, of which the rows of a
+broadcast take many times as much. Only the number of lists of each segment may be broadcast.
 
 Defined results: null texts and items have no words; an item of fewer words than a window, but not none, is one window;
 items without words and an empty benchmark hit nothing; an item id that occurs in several rows counts once; rows of a
@@ -209,13 +211,13 @@ def search_index(index: DataFrame, windows: DataFrame, scratch: Scratch, span: i
     postings = index.select("seg", F.explode("terms").alias("term")).join(vocabulary, "term", "left_semi")
     postings = scratch.keep(postings, "postings")
     often = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    rarest = terms.join(often, "term").groupBy("wid").agg(F.min(F.struct("n", "term"))["term"].alias("term"), F.count(F.lit(1)).alias("held"))
-    rarest = windows.join(rarest, "wid").where(F.col("held") == F.size(F.array_distinct("grams"))).select("wid", "grams", "term")
-    met = scratch.keep(rarest.join(postings, "term").select("seg", "wid", "grams"), "met")
+    rarest = terms.join(often.hint("merge"), "term").groupBy("wid").agg(F.min(F.struct("n", "term"))["term"].alias("term"), F.count(F.lit(1)).alias("held"))
+    rarest = windows.join(rarest.hint("merge"), "wid").where(F.col("held") == F.size(F.array_distinct("grams"))).select("wid", "grams", "term")
+    met = scratch.keep(rarest.join(postings.hint("merge"), "term").select("seg", "wid", "grams"), "met")
     parts = met.groupBy("seg").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("parts"))
     met = met.join(parts, "seg").withColumn("part", F.pmod(F.xxhash64("wid"), F.col("parts")))
     lists = met.groupBy("seg", "part").agg(F.collect_list(F.struct("wid", "grams")).alias("wanted"))
-    src = index.select("seg", "n_words", "terms", "sizes", "gaps").join(lists, "seg").select("seg", "n_words", "terms", "sizes", "gaps", "wanted")
+    src = index.select("seg", "n_words", "terms", "sizes", "gaps").join(lists.hint("merge"), "seg").select("seg", "n_words", "terms", "sizes", "gaps", "wanted")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -262,13 +264,13 @@ def _indexed(
     rows = rows.select("seg", F.col("doc").cast("long").alias("doc"), F.col("x.ids").alias("id"), F.col("x.keys").alias("key"), F.col("x.n_words").cast("long").alias("n_words"))
     pairs = scratch.keep(benchmark_windows(bench, item_col, item_text_col, window), "pairs")
     windows = scratch.keep(pairs.select("grams").distinct().withColumn("wid", F.monotonically_increasing_id()), "windows")
-    owners = pairs.where("item is not null").join(windows, "grams").select("wid", "item").distinct()
+    owners = pairs.where("item is not null").join(windows.hint("merge"), "grams").select("wid", "item").distinct()
     return scratch, index, rows, windows, scratch.keep(owners, "owners")
 
 
 def _listed(hits: DataFrame, owners: DataFrame) -> DataFrame:
     """(seg, doc, items): the sorted items of each document's windows."""
-    found = hits.select("seg", "doc", "wid").distinct().join(owners, "wid").select("seg", "doc", "item").distinct()
+    found = hits.select("seg", "doc", "wid").distinct().join(owners.hint("merge"), "wid").select("seg", "doc", "item").distinct()
     return found.groupBy("seg", "doc").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
@@ -292,10 +294,10 @@ def decontaminate(
     before = F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     new = F.greatest(F.col("end") - F.greatest(F.col("start"), before), F.lit(0))
     covered = spans.select("seg", "doc", new.alias("new")).groupBy("seg", "doc").agg(F.sum("new").alias("n_hit"))
-    facts = scratch.keep(covered.join(_listed(hits, owners), ["seg", "doc"], "left"), "facts")
+    facts = scratch.keep(covered.join(_listed(hits, owners).hint("merge"), ["seg", "doc"], "left"), "facts")
     scratch.release(index, facts)
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return rows.join(facts, ["seg", "doc"], "left").select(
+    return rows.join(facts.hint("merge"), ["seg", "doc"], "left").select(
         F.col("id").alias(id_col), "key", "n_words", n_hit.alias("n_hit"),
         F.greatest(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
@@ -319,7 +321,7 @@ def proximity_matches(
     scratch, index, rows, windows, owners = _indexed(docs, bench, id_col, text_col, item_col, item_text_col, window, segment_bytes)
     facts = scratch.keep(_listed(search_index(index, windows, scratch, span), owners), "facts")
     scratch.release(index, facts)
-    return rows.join(facts, ["seg", "doc"], "left").select(
+    return rows.join(facts.hint("merge"), ["seg", "doc"], "left").select(
         F.col("id").alias(id_col), "n_words", F.greatest(F.size("items"), F.lit(0)).cast("long").alias("n_near_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("near_items_sha256"),
     )

@@ -78,6 +78,23 @@ def brute_near(docs, items, span, size=13):
     return out
 
 
+def test_growing_tables_are_not_broadcast(spark, sf_dir, monkeypatch):
+    """The files of postings and hits are a fiftieth of what their rows take in a broadcast: their size must not decide."""
+    plans = {}
+
+    def keep(self, df, label="t", old=decontam.Scratch.keep):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return old(self, df, label)
+
+    monkeypatch.setattr(decontam.Scratch, "keep", keep)
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") in ("10485760b", "10485760", "10MB")
+    out = decontam.decontaminate(real_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    plans["out"] = out._jdf.queryExecution().sparkPlan().toString()
+    for label in ("owners", "met", "facts", "out"):
+        assert "SortMergeJoin" in plans[label] and "BroadcastHashJoin" not in plans[label], label
+    assert plans["hits"].count("BroadcastHashJoin") <= 1 and "SortMergeJoin" in plans["hits"]  # the numbers of lists by segment
+
+
 @pytest.mark.parametrize("span", [1, 4, 9, 26])
 def test_proximity_brute_force(spark, span):
     rng = random.Random(6)
