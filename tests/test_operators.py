@@ -314,6 +314,48 @@ def test_faces_and_manifest(spark):
     assert doc.startswith('{"schema_version":"1.0"')
 
 
+@pytest.mark.parametrize("cell", [faces.CELL, 7])
+def test_match_boxes_brute_force(spark, cell):
+    """All pairs against the operator, with ties, repeated ords, nulls, flat boxes, and frames of many cells and blocks."""
+    rnd = random.Random(3)
+    b, f = [], []
+    for k in range(900):
+        frame = 0 if k < 500 else rnd.randrange(1, 40)
+        x, y, w, h = (rnd.choice([None, 0]) if rnd.random() < 0.02 else rnd.randrange(n) for n in (60, 40, 12, 12))
+        b.append((None if k == 7 else k % 3, None if k == 8 else frame, k - k % 2 if k < 40 else None if k == 50 else k, x, y, w, h))
+        x, y = rnd.randrange(60), rnd.randrange(40)
+        f.append((k % 3, frame, 1000 - k, None if k % 60 == 9 else x, y, x + rnd.randrange(12), None if k % 50 == 9 else y + rnd.randrange(12)))
+    boxes = spark.createDataFrame(b, "video_id int, frame_idx int, ord bigint, x int, y int, w int, h int")
+    found = spark.createDataFrame(f, "video_id int, frame_idx int, ford int, x1 int, y1 int, x2 int, y2 int")
+    pairs = boxes.join(found, ["video_id", "frame_idx"])
+    pairs = pairs.withColumn("iou", geometry.iou(*(F.col(c) for c in ("x", "y", "w", "h", "x1", "y1", "x2", "y2")))).where("iou > 0")
+    best = {}
+    for r in pairs.collect():
+        at = (r["video_id"], r["frame_idx"], r["ord"])
+        best[at] = min(best.get(at, (0.0, 0)), (-r["iou"], r["ford"]))
+    want = sorted((*map(str, x), *((best[x[:3]][1], -best[x[:3]][0]) if x[:3] in best and x[2] is not None else (None, 0.0))) for x in b)
+    got = sorted((*map(str, r[:7]), r["ford"], r["iou"]) for r in faces.match_boxes(boxes, found, cell=cell).collect())
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_match_boxes_sorts_no_pairs(spark):
+    """300 boxes on 300 faces of one frame: no operator gives out more rows than there are boxes and faces."""
+    n = spark.range(300)
+    b = n.select(F.lit(1).alias("video_id"), F.lit(0).alias("frame_idx"), F.col("id").alias("ord"), *(F.lit(9).alias(c) for c in "xywh"))
+    f = n.select(F.lit(1).alias("video_id"), F.lit(0).alias("frame_idx"), F.col("id").alias("ford"), *(F.lit(9 + 9 * k).alias(c) for k, c in zip((0, 0, 1, 1), ("x1", "y1", "x2", "y2"))))
+    out = faces.match_boxes(b, f)
+    assert {(r["ford"], r["iou"]) for r in out.collect()} == {(0, 1.0)}
+    todo, rows = [out._jdf.queryExecution().executedPlan()], []
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if p.metrics().contains("numOutputRows"):
+            rows.append(p.metrics().apply("numOutputRows").value())
+        inner = p.executedPlan() if name == "AdaptiveSparkPlan" else p.plan() if name.endswith("QueryStage") else None
+        todo += [inner] if inner is not None else [p.children().apply(i) for i in range(p.children().size())]
+    assert rows and max(rows) <= 600
+
+
 def test_plans_have_no_cartesian(spark, sf_dir):
     import __spark_entry__ as e
 
